@@ -111,6 +111,14 @@ def _day_differences(staging: DataFrame) -> DataFrame:
     )
 
 
+def _calendar_use(staging: DataFrame) -> DataFrame:
+    """Every day of the calendar with the notifications of that day."""
+    calendar = dimensions.build_date_dimension(staging.sparkSession)
+    key = dates.date_key(F.col("DataNotificacao_date")).alias("sk_tempo")
+    daily = staging.groupBy(key).agg(F.count("*").alias("notificacoes"))
+    return calendar.join(daily, "sk_tempo", "left").fillna(0, ["notificacoes"])
+
+
 def _role_playing_dates(load: Load) -> DataFrame:
     keys = facts.dates_by_key(load[STAGING])
     return keys.groupBy(*d.DATE_ROLES).agg(F.count("*").alias("linhas"))
@@ -202,7 +210,7 @@ def queries() -> dict[str, Query]:
         "remove_accents": _on_load(_remove_accents),
         "locality_region": _on_load(_locality_region),
         # dimensions and history
-        "dim_tempo": lambda spark, sf_dir: dimensions.build_date_dimension(spark),
+        "dim_tempo": _on_staging(_calendar_use),
         "dim_localidade_base": _on_staging(dimensions.build_locality_base),
         "dim_localidade": _on_load(lambda load: load["dw.dim_localidade"]),
         **{
