@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from epidw import domain as d, schemas
 from epidw.functions.dates import all_of, date_key, pick_label
 from epidw.functions.text import remove_accents
 from epidw.operators.keys import contiguous_ids
 from epidw.operators.scd2 import apply_changes, open_version
+from epidw.session import literal_rows
 
 
 def unknown_member(spark: SparkSession, table: str, **values) -> DataFrame:
@@ -26,7 +27,7 @@ def unknown_member(spark: SparkSession, table: str, **values) -> DataFrame:
             row.append(values[field.name])
         else:
             row.append(d.UNKNOWN if field.dataType.simpleString() == "string" else None)
-    return spark.createDataFrame([tuple(row)], schema)
+    return literal_rows(spark, schema, [tuple(row)])
 
 
 def _declared(df: DataFrame, table: str) -> DataFrame:
@@ -56,7 +57,8 @@ def build_date_dimension(
         F.date_format(day, "yyyy-MM").alias("ano_mes"),
     )
     unknown = unknown_member(spark, "dw.dim_tempo", dia=0, mes=0, ano=0, trimestre=0, semana_epidemiologica=0)
-    return unknown.unionByName(_declared(calendar, "dw.dim_tempo"))
+    # the number of days is fixed by the arguments; one small file serves readers best
+    return unknown.unionByName(_declared(calendar, "dw.dim_tempo")).coalesce(1)
 
 
 def region_lookup(
@@ -70,9 +72,9 @@ def region_lookup(
         (m, *regional.get(m, (None, None)), d.HOME_STATE if m in regional else None, populations.get(m))
         for m in dict.fromkeys([*regional, *populations])
     ]
-    return spark.createDataFrame(
-        rows, "_plain string, regiao_es string, macrorregiao string, uf string, populacao_municipio int"
-    )
+    names = ("_plain", "regiao_es", "macrorregiao", "uf")
+    schema = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("populacao_municipio", T.IntegerType())])
+    return literal_rows(spark, schema, rows)
 
 
 def with_region(localities: DataFrame, municipio: str = "municipio", lookup: DataFrame | None = None) -> DataFrame:
@@ -114,7 +116,9 @@ def build_locality_dimension(
     since: dt.date = d.POPULATION_CHANGE_DATE,
 ) -> DataFrame:
     """The base localities after the population changes: old versions closed, new ones appended."""
-    changes = base.sparkSession.createDataFrame(list(populations.items()), "municipio string, populacao_municipio int")
+    locality = schemas.TABLES["dw.dim_localidade"]
+    changed = T.StructType([locality["municipio"], locality["populacao_municipio"]])
+    changes = literal_rows(base.sparkSession, changed, list(populations.items()))
     return apply_changes(base, changes, ["municipio"], since, "sk_local", ["municipio", "bairro"])
 
 

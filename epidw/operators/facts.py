@@ -10,7 +10,7 @@ from epidw import domain as d, schemas
 from epidw.functions.dates import any_of, date_key, day_gap
 from epidw.functions.measures import any_positive, flag, has_covid_death
 from epidw.operators.keys import contiguous_ranges, repeat_numbered
-from epidw.operators.lookup import lookup, with_salt
+from epidw.operators.lookup import lookup, measure, with_salt
 from epidw.operators.scd2 import lookup_as_of
 
 NOTIFICATION = "dw.fato_notificacao_covid"
@@ -49,9 +49,11 @@ def build_notification_fact(
     dimensions that are broadcast while they fit the budget, so the load is one
     map-only stage over the staging table.
     """
+    locality = dimensions["dw.dim_localidade"]
+    measure(locality, *(dimensions[junk.table] for junk in d.JUNK_DIMENSIONS))
     rows = lookup_as_of(
         with_salt(staging),
-        dimensions["dw.dim_localidade"],
+        locality,
         {d.clean_name(raw): name for raw, name in d.PLACE.items()},
         "DataNotificacao_date",
         "sk_local",

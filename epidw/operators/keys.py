@@ -1,4 +1,4 @@
-"""Contiguous surrogate keys without a single-task window."""
+"""Contiguous surrogate keys whose numbering never depends on one task holding all rows."""
 
 from __future__ import annotations
 
@@ -9,35 +9,51 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from epidw.session import cut_lineage
 
 
+ONE_TASK_ROWS = 100_000
+
+
 def contiguous_ranges(
-    df: DataFrame, order_by: Sequence[str], weight: Column | int, first: str, start: int = 1
+    df: DataFrame,
+    order_by: Sequence[str],
+    weight: Column | int,
+    first: str,
+    start: int = 1,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Give every row the first of ``weight`` consecutive numbers, in ``order_by`` order.
 
-    Rows must differ in ``order_by``; distinct keys spread evenly over range
-    partitions. The partitions are written once, so that the pass that totals them
-    and the pass that numbers them agree. Only one total per partition meets in a
-    single task; everything else stays distributed.
+    Rows must differ in ``order_by``. They are written once and counted. Up to
+    ``one_task_rows`` of them are numbered by a plain window. More are split by range,
+    which distinct keys fill evenly; the ranges are written, so that the pass that
+    totals them and the pass that numbers them agree, and only one total per range
+    meets in a single task.
     """
     weight = weight if isinstance(weight, Column) else F.lit(weight)
-    placed = cut_lineage(df.repartitionByRange(*order_by).withColumn("_part", F.spark_partition_id()))
-    totals = placed.groupBy("_part").agg(F.sum(weight).alias("_total"))
+    above = Window.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    rows = cut_lineage(df)
+    if rows.count() <= one_task_rows:
+        offset = F.coalesce(F.sum(weight).over(above), F.lit(0))
+        return rows.withColumn(first, (offset + start).cast("long"))
+    ranges = cut_lineage(rows.repartitionByRange(*order_by).withColumn("_part", F.spark_partition_id()))
+    totals = ranges.groupBy("_part").agg(F.sum(weight).alias("_total"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
-    above = Window.partitionBy("_part").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum(weight).over(above), F.lit(0))
-    # one row per range partition: the broadcast side is bounded by the number of partitions
+    within = Window.partitionBy("_part").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range: the broadcast side is bounded by the number of partitions
     return (
-        placed.withColumn("_offset", offset)
+        ranges.withColumn("_offset", F.coalesce(F.sum(weight).over(within), F.lit(0)))
         .join(F.broadcast(bases), "_part")
         .withColumn(first, (F.col("_base") + F.col("_offset") + start).cast("long"))
         .drop("_part", "_offset", "_base")
     )
 
 
-def contiguous_ids(df: DataFrame, order_by: Sequence[str], name: str, start: int = 1) -> DataFrame:
+def contiguous_ids(
+    df: DataFrame, order_by: Sequence[str], name: str, start: int = 1, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """Number distinct rows ``start, start + 1, ..`` in ``order_by`` order; the key is an INT."""
-    return contiguous_ranges(df, order_by, 1, name, start).withColumn(name, F.col(name).cast("int"))
+    ranges = contiguous_ranges(df, order_by, 1, name, start, one_task_rows)
+    return ranges.withColumn(name, F.col(name).cast("int"))
 
 
 def repeat_numbered(df: DataFrame, count: str, first: str, name: str, chunk: int = 10_000, rows_per_task: int = 4_000_000) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -13,17 +15,32 @@ SALTS = 32
 _SALT = "_salt"
 
 
-def data_bytes(df: DataFrame) -> int:
-    """Measured size of the values of a frame (text by its length, other values as 8 bytes)."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+_measured: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
+
+def _bytes(df: DataFrame) -> DataFrame:
+    """One row: size of the values of a frame (text by its length, other values as 8 bytes)."""
     width = F.lit(8 * len(df.columns))
-    for name in texts:
-        width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
+    for field in df.schema:
+        if isinstance(field.dataType, T.StringType):
+            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes"))
+
+
+def measure(*frames: DataFrame) -> list[int]:
+    """Measured sizes, all missing ones in a single job; a frame is measured once."""
+    missing = [df for df in dict.fromkeys(frames) if df not in _measured]
+    if missing:
+        sizes = reduce(
+            DataFrame.unionByName, (_bytes(df).withColumn("position", F.lit(i)) for i, df in enumerate(missing))
+        )
+        for row in sizes.collect():
+            _measured[missing[row.position]] = row.bytes
+    return [_measured[df] for df in frames]
 
 
 def fits_broadcast(df: DataFrame, budget: int | None = None) -> bool:
-    return data_bytes(df) <= (BROADCAST_BUDGET if budget is None else budget)
+    return measure(df)[0] <= (BROADCAST_BUDGET if budget is None else budget)
 
 
 def with_salt(rows: DataFrame) -> DataFrame:
@@ -59,7 +76,7 @@ def lookup(
     if also is not None:
         conditions.append(also(lambda attribute: F.col(name(attribute))))
     extra = []
-    if fits_broadcast(side, budget):
+    if fits_broadcast(dimension, budget):
         side = F.broadcast(side)
     else:
         if _SALT not in rows.columns:

@@ -35,7 +35,7 @@ def by_municipio_month(
     names = locality.select("sk_local", "municipio")
     month = F.expr(f"{date} div 100").alias("_month")
     rows = fact.select("sk_local", month, *measures.values())
-    if fits_broadcast(names, budget):
+    if fits_broadcast(locality, budget):
         placed = rows.join(F.broadcast(names), "sk_local")
     else:
         per_locality = rows.groupBy("sk_local", "_month").agg(*(F.sum(c).alias(c) for c in measures.values()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from epidw import domain as d
 from epidw.functions.measures import how_many, rounded_percent
@@ -49,9 +49,8 @@ def value_counts(df: DataFrame, column: str, name: str = "total") -> DataFrame:
 
 def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     """Count and percentage of each value among the rows that have one, rarest first."""
-    counts = value_counts(df, column, "frequencia")
-    # summed over groups, not rows
-    everything = F.sum("frequencia").over(Window.partitionBy(F.lit(1)))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("frequencia"))
+    everything = counts.agg(F.sum("frequencia")).scalar()
     share = F.round(F.col("frequencia") * F.lit(100.0) / everything, 2).alias("percentual")
     return counts.select(column, "frequencia", share).orderBy("frequencia", column)
 

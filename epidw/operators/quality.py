@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from epidw import domain as d, schemas
 from epidw.functions.dates import any_of
+from epidw.session import literal_rows
 
 Tables = Mapping[str, DataFrame]
 
@@ -22,25 +23,32 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def key_profile(tables: Tables) -> DataFrame:
-    """Unknown members (-1), repeated and missing keys of every table with a primary key."""
-    def check(table: str, key: str) -> DataFrame:
-        copies = tables[table].groupBy(F.col(key).cast("long").alias("_key")).agg(F.count("*").alias("_rows"))
-        rows_where = lambda test: F.coalesce(F.sum(F.when(test, F.col("_rows"))), F.lit(0)).cast("long")
-        return copies.agg(
-            rows_where(F.col("_key") == d.UNKNOWN_KEY).alias("membros"),
-            F.count_if(F.col("_key").isNotNull() & (F.col("_rows") > 1)).alias("duplicadas"),
-            rows_where(F.col("_key").isNull()).alias("nulas"),
-        ).select(F.lit(table).alias("tabela"), F.lit(key).alias("chave"), "membros", "duplicadas", "nulas")
+    """Unknown members (-1), repeated and missing keys of every table with a primary key.
 
-    return _union(check(table, key) for table, key in schemas.PRIMARY_KEYS.items())
+    All keys go through one shuffle; a table without rows still gets its line.
+    """
+    keys = _union(
+        tables[table].select(F.lit(table).alias("tabela"), F.col(key).cast("long").alias("_key"))
+        for table, key in schemas.PRIMARY_KEYS.items()
+    )
+    copies = keys.groupBy("tabela", "_key").agg(F.count("*").alias("_rows"))
+    found = copies.groupBy("tabela").agg(
+        F.sum(F.when(F.col("_key") == d.UNKNOWN_KEY, F.col("_rows"))).alias("membros"),
+        F.count_if(F.col("_key").isNotNull() & (F.col("_rows") > 1)).alias("duplicadas"),
+        F.sum(F.when(F.col("_key").isNull(), F.col("_rows"))).alias("nulas"),
+    )
+    columns = T.StructType([T.StructField("tabela", T.StringType()), T.StructField("chave", T.StringType())])
+    expected = literal_rows(keys.sparkSession, columns, list(schemas.PRIMARY_KEYS.items()))
+    return expected.join(found, "tabela", "left").fillna(0)
 
 
 def unknown_members(tables: Tables) -> DataFrame:
     """Number of unknown members in each dimension; there should be one."""
+    dimensions = {table: tables[table] for table in schemas.DIMENSION_KEYS}
     return _union(
-        tables[table].agg(F.count_if(F.col(key) == d.UNKNOWN_KEY).alias("membros"))
+        df.agg(F.count_if(F.col(schemas.DIMENSION_KEYS[table]) == d.UNKNOWN_KEY).alias("membros"))
         .select(F.lit(table).alias("tabela"), "membros")
-        for table, key in schemas.DIMENSION_KEYS.items()
+        for table, df in dimensions.items()
     )
 
 

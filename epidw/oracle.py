@@ -242,8 +242,8 @@ def with_tables(select: str, *names: str) -> str:
     return f"WITH {listed} {select}"
 
 
-def _count(select: str, source: str, group: bool = True) -> str:
-    return f"SELECT {select}, count(*) AS linhas FROM {source}" + (" GROUP BY ALL" if group else "")
+def _count(select: str, source: str) -> str:
+    return f"SELECT {select}, count(*) AS linhas FROM {source} GROUP BY ALL"
 
 
 def _per_column(columns: Iterable[str], one: str) -> str:
@@ -605,15 +605,15 @@ def _modelling() -> dict[str, str]:
         ),
         "remove_accents": with_tables(f"SELECT municipio, strip_accents(municipio) AS sem_acento FROM {municipios}", "stg"),
         "fact_flags": with_tables(
-            _count(f"Classificacao_clean, Evolucao_clean, {d.HOSPITALISED}, {_named(FLAGS)}", "stg"), "stg"
+            f"SELECT Classificacao_clean, Evolucao_clean, {d.HOSPITALISED}, {_named(FLAGS)} FROM stg", "stg"
         ),
-        "day_differences": with_tables(_count(_named(GAPS), "stg"), "stg"),
-        "role_playing_dates": with_tables(_count(_named(roles), "stg" + role_joins), "stg", "dim_tempo"),
+        "day_differences": with_tables(
+            f"SELECT DataNotificacao_date, DataEncerramento_date, DataObito_date, {_named(GAPS)} FROM stg", "stg"
+        ),
+        "role_playing_dates": with_tables(f"SELECT {_named(roles)} FROM stg{role_joins}", "stg", "dim_tempo"),
         "scd2_asof_join": with_tables(
-            _count(
-                "Municipio_clean, Bairro_clean, DataNotificacao_date, coalesce(l.sk_local, -1) AS sk_local",
-                f"stg s LEFT JOIN dim_localidade l ON {LOCALITY_MATCH}",
-            ),
+            "SELECT Municipio_clean, Bairro_clean, DataNotificacao_date, coalesce(l.sk_local, -1) AS sk_local"
+            f" FROM stg s LEFT JOIN dim_localidade l ON {LOCALITY_MATCH}",
             "stg", "dim_localidade",
         ),
         "fato_notificacao": with_tables(everything + "fato", "fato"),

@@ -1,31 +1,27 @@
-"""One dashboard refresh: all panels of a mode in a single Spark action."""
+"""One dashboard refresh: all panels of a mode."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row
 
 from epidw.plans import direct, star
 
+Values = Sequence[str]
 
-def refresh(source, panels: Mapping, municipios: Sequence[str] = (), classes: Sequence[str] = ()) -> dict[str, DataFrame]:
-    return {name: panel(source, municipios, classes) for name, panel in panels.items()}
 
-
-def refresh_direct(raw: DataFrame, municipios: Sequence[str] = (), classes: Sequence[str] = ()) -> dict[str, DataFrame]:
+def refresh_direct(raw: DataFrame, municipios: Values = (), classes: Values = ()) -> dict[str, list[Row]]:
     return refresh(raw, direct.PANELS, municipios, classes)
 
 
-def refresh_star(tables: star.Tables, municipios: Sequence[str] = (), classes: Sequence[str] = ()) -> dict[str, DataFrame]:
+def refresh_star(tables: star.Tables, municipios: Values = (), classes: Values = ()) -> dict[str, list[Row]]:
     return refresh(tables, star.PANELS, municipios, classes)
 
 
-def combined(panels: Mapping[str, DataFrame]) -> DataFrame:
-    """All panels as (painel, linha as JSON): one job whose stages run side by side."""
-    frames = [
-        df.select(F.lit(name).alias("painel"), F.to_json(F.struct(*df.columns)).alias("linha"))
-        for name, df in panels.items()
-    ]
-    return reduce(DataFrame.unionByName, frames)
+def refresh(source, panels: Mapping, municipios: Values = (), classes: Values = ()) -> dict[str, list[Row]]:
+    """The rows of every panel, fetched as concurrent Spark jobs. Each panel is a handful of rows."""
+    with ThreadPoolExecutor(len(panels)) as pool:
+        running = {name: pool.submit(lambda p: p(source, municipios, classes).collect(), panel) for name, panel in panels.items()}
+        return {name: future.result() for name, future in running.items()}

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from epidw import domain as d
 from epidw.functions import dates, measures, text
 from epidw.operators import dimensions, facts, mart, profile, quality, scd2
+from epidw.operators.lookup import with_salt
 from epidw.operators.staging import build_staging
 from epidw.plans import direct, notebook, star
 from epidw.plans.pipeline import DIMENSIONS, STAGING, Load
@@ -98,17 +99,13 @@ def _collection_date(raw: DataFrame) -> DataFrame:
 
 
 def _fact_flags(staging: DataFrame) -> DataFrame:
-    flags = facts.notification_flags()
     inputs = ("Classificacao_clean", "Evolucao_clean", d.HOSPITALISED)
-    rows = staging.select(*inputs, *(flag.alias(name) for name, flag in flags.items()))
-    return rows.groupBy(*inputs, *flags).agg(F.count("*").alias("linhas"))
+    return staging.select(*inputs, *(flag.alias(name) for name, flag in facts.notification_flags().items()))
 
 
 def _day_differences(staging: DataFrame) -> DataFrame:
-    gaps = facts.notification_gaps()
-    return staging.select(*(gap.cast("int").alias(name) for name, gap in gaps.items())).groupBy(*gaps).agg(
-        F.count("*").alias("linhas")
-    )
+    inputs = ("DataNotificacao_date", "DataEncerramento_date", "DataObito_date")
+    return staging.select(*inputs, *(gap.cast("int").alias(name) for name, gap in facts.notification_gaps().items()))
 
 
 def _calendar_use(staging: DataFrame) -> DataFrame:
@@ -119,21 +116,16 @@ def _calendar_use(staging: DataFrame) -> DataFrame:
     return calendar.join(daily, "sk_tempo", "left").fillna(0, ["notificacoes"])
 
 
-def _role_playing_dates(load: Load) -> DataFrame:
-    keys = facts.dates_by_key(load[STAGING])
-    return keys.groupBy(*d.DATE_ROLES).agg(F.count("*").alias("linhas"))
-
-
 def _as_of(load: Load) -> DataFrame:
     rows = scd2.lookup_as_of(
-        facts.with_salt(load[STAGING].select("Municipio_clean", "Bairro_clean", "DataNotificacao_date")),
+        with_salt(load[STAGING].select("Municipio_clean", "Bairro_clean", "DataNotificacao_date")),
         load["dw.dim_localidade"],
         {"Municipio_clean": "municipio", "Bairro_clean": "bairro"},
         "DataNotificacao_date",
         "sk_local",
     )
     key = F.coalesce("sk_local", F.lit(d.UNKNOWN_KEY)).alias("sk_local")
-    return rows.groupBy("Municipio_clean", "Bairro_clean", "DataNotificacao_date", key).agg(F.count("*").alias("linhas"))
+    return rows.select("Municipio_clean", "Bairro_clean", "DataNotificacao_date", key)
 
 
 def _locality_region(load: Load) -> DataFrame:
@@ -226,7 +218,7 @@ def queries() -> dict[str, Query]:
             lambda load: dimensions.build_snowflake_bairro(load["dw.dim_localidade"], load["dw.dim_municipio"])
         ),
         # facts and mart
-        "role_playing_dates": _on_load(_role_playing_dates),
+        "role_playing_dates": _on_staging(facts.dates_by_key),
         "scd2_asof_join": _on_load(_as_of),
         "fato_notificacao": _on_load(lambda load: facts.build_notification_fact(load[STAGING], load)),
         "fato_exame": _on_load(lambda load: facts.build_exam_fact(load[facts.NOTIFICATION], load[d.TEST_DIM.table])),

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 _local_scratch: dict[str, str] = {}
 
@@ -55,6 +56,15 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_scratch[application]
 
 
+def literal_rows(spark: SparkSession, schema: T.StructType, rows: Sequence[tuple]) -> DataFrame:
+    """A frame of a few configured rows, made of literals in one partition."""
+    structs = [
+        F.struct(*(F.lit(value).cast(field.dataType).alias(field.name) for field, value in zip(schema, row)))
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and carry on from the written files.
 
