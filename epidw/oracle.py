@@ -392,8 +392,8 @@ def _quality() -> dict[str, str]:
     )
     primary = " UNION ALL ".join(
         f"SELECT '{t}' AS tabela, '{key}' AS chave,"
-        " count(*) FILTER (WHERE k IS NOT NULL AND n > 1) AS duplicadas,"
-        f" CAST(coalesce(sum(n) FILTER (WHERE k IS NULL), 0) AS BIGINT) AS nulas"
+        " CAST(coalesce(sum(n - 1) FILTER (WHERE k IS NOT NULL), 0) AS BIGINT) AS duplicadas,"
+        " CAST(coalesce(sum(n) FILTER (WHERE k IS NULL), 0) AS BIGINT) AS nulas"
         f" FROM (SELECT {key} AS k, count(*) AS n FROM {CTE_OF[t]} GROUP BY 1) x"
         for t, key in schemas.PRIMARY_KEYS.items()
     )
@@ -412,7 +412,7 @@ def _quality() -> dict[str, str]:
     keys = " UNION ALL ".join(
         f"SELECT 'chave:{t}' AS verificacao, m AS m, dup AS dup, nul AS nul, {'m = 0' if t in dims else 'false'} AS lacks FROM ("
         f"SELECT CAST(coalesce(sum(n) FILTER (WHERE k = -1), 0) AS BIGINT) AS m,"
-        " count(*) FILTER (WHERE k IS NOT NULL AND n > 1) AS dup,"
+        " CAST(coalesce(sum(n - 1) FILTER (WHERE k IS NOT NULL), 0) AS BIGINT) AS dup,"
         " CAST(coalesce(sum(n) FILTER (WHERE k IS NULL), 0) AS BIGINT) AS nul"
         f" FROM (SELECT {key} AS k, count(*) AS n FROM {CTE_OF[t]} GROUP BY 1) g) h"
         for t, key in schemas.PRIMARY_KEYS.items()

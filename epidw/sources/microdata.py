@@ -5,24 +5,40 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from epidw import schemas
 
 
+# fixed values: spellings of "no value" that the usual CSV tooling of data analysts reads as missing
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
 def read_microdata_csv(
-    spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1", schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    sep: str = ";",
+    encoding: str = "ISO-8859-1",
+    schema: T.StructType | None = None,
+    missing: Sequence[str] = MISSING,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Delimited text with a header line; every column stays text.
+    """Delimited text with a header line; every column stays text, ``missing`` spellings become NULL.
 
     Without ``schema`` the names come from the header of the file (one line is
     read); types are never inferred, since one column mixes numbers and words.
+    Quotes inside quoted fields are doubled. Fields with line breaks need
+    ``multi_line``, which keeps a file from being split.
     """
-    reader = spark.read.option("sep", sep).option("header", True).option("encoding", encoding)
+    reader = spark.read.options(sep=sep, header=True, encoding=encoding, quote='"', escape='"', multiLine=multi_line)
     if schema is not None:
         # columns are matched by position, so a header in another order must not pass silently
         reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+    read = reader.csv(path)
+    return read.select(*(F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in read.columns))
 
 
 def csv_to_parquet(spark: SparkSession, source: str, target: str, **options) -> None:
