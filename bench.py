@@ -9,6 +9,9 @@ from __future__ import annotations
 import json
 import os
 import sys
+from functools import reduce
+
+from pyspark.sql import DataFrame
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,7 +28,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
     root = f"{shared_folder(spark)}/bench"
-    fixture_seconds, _ = timed(lambda: raw_from_test_tables(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/raw"))
+    # BENCH_REPEAT stacks copies of the rows, to measure at the size of a published run
+    copies = [raw_from_test_tables(spark, sf_dir)] * int(os.environ.get("BENCH_REPEAT", "1"))
+    rows_to_write = reduce(DataFrame.unionByName, copies)
+    fixture_seconds, _ = timed(lambda: rows_to_write.write.mode("overwrite").parquet(f"{root}/raw"))
     raw = read_microdata(spark, f"{root}/raw")
     rows = raw.count()
 
