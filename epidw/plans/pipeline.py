@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,19 +23,23 @@ class Load(Warehouse):
     """A version under construction. Asking for a table builds and writes it, and what it needs, once."""
 
     raw: DataFrame
+    seconds: dict[str, float]
+    locks: dict[str, Lock]
 
     @classmethod
     def start(cls, spark: SparkSession, raw: DataFrame, root: str) -> Load:
         load = cls.new_version(tune(spark), root)
         load.raw = raw
         load.seconds = {}
+        load.locks = {table: Lock() for table in BUILDERS}
         return load
 
     def __getitem__(self, table: str) -> DataFrame:
-        if table not in self._frames:
-            began = time.perf_counter()
-            self.write(table, BUILDERS[table](self))
-            self.seconds[table] = time.perf_counter() - began
+        with self.locks[table]:
+            if table not in self._frames:
+                began = time.perf_counter()
+                self.write(table, BUILDERS[table](self))
+                self.seconds[table] = time.perf_counter() - began
         return self._frames[table]
 
     def __contains__(self, table: object) -> bool:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Callable
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -35,17 +36,19 @@ UPSERT_POPULATION = 372_000
 UPSERT_BAIRRO = "CENTRO NOVO"
 
 _loads: dict[tuple[str, str], Load] = {}
+_loading = Lock()
 
 
 def load_for(spark: SparkSession, sf_dir: str) -> Load:
     """The load over one set of test tables, shared by all queries of the application."""
     identity = (spark.sparkContext.applicationId, sf_dir)
-    if identity not in _loads:
-        tune(spark)
-        root = f"{shared_folder(spark)}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
-        raw_from_test_tables(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/raw")
-        _loads[identity] = Load.start(spark, read_microdata(spark, f"{root}/raw"), root)
-    return _loads[identity]
+    with _loading:
+        if identity not in _loads:
+            tune(spark)
+            root = f"{shared_folder(spark)}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
+            raw_from_test_tables(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/raw")
+            _loads[identity] = Load.start(spark, read_microdata(spark, f"{root}/raw"), root)
+        return _loads[identity]
 
 
 def _on_raw(query: Callable[[DataFrame], DataFrame]) -> Query:
