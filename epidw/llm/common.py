@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -77,3 +77,24 @@ def slices(starts: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, i
         row = min(end, rows)
 
 
+
+
+def row_sums(column: pa.Array, measure: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], width: int) -> np.ndarray:
+    """Sums that ``measure(bytes, starts, ends)`` gives for the texts of a column, slice by slice.
+
+    A text longer than a slice is measured in blocks that end at a blank where there is one, and its sums are added.
+    """
+    data, starts = utf8(column)
+    out = np.zeros((len(starts) - 1, width))
+    for a, b in slices(starts):
+        low, high = int(starts[a]), int(starts[b])
+        if high - low <= SLICE_BYTES:
+            out[a:b] = measure(data[low:high], starts[a:b] - low, starts[a + 1 : b + 1] - low)
+            continue
+        while low < high:
+            end = min(low + SLICE_BYTES, high)
+            blanks = np.flatnonzero(data[end - 4096 : end] == 0x20) if end < high else ()
+            end = end - 4096 + int(blanks[-1]) + 1 if len(blanks) else end
+            out[a] += measure(data[low:end], np.zeros(1, np.int64), np.array([end - low]))[0]
+            low = end
+    return out

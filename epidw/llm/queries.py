@@ -7,18 +7,29 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epidw.llm import chat, codes, exact, fingerprints, packing
+from epidw.llm import chat, codes, exact, fingerprints, language, mixing, packing, quality, toxicity
 from epidw.llm.common import scratch_path, table
 
 CONTROL = "</s>[INST] ok [/INST]"
 
+#: target shares of the mixing query
+MIX = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -42,8 +53,23 @@ def op8_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.read_token_files(spark, path)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The domain table of the mixing operator: the language of the documents that the table of labels covers."""
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id"), "doc_id", "left_semi")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mixing_rates(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), weights=MIX)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_packing, op4_fingerprints, op5_exact_dedup, op6_chat_format, op8_codes)}
+    return {f.__name__: f for f in (
+        op1_language, op2_packing, op3_toxicity, op4_fingerprints, op5_exact_dedup, op6_chat_format, op8_codes, op9_quality, op10_mixing)}
 
 
 OP5_SQL = """
