@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epidw.llm import chat, codes, exact, fingerprints, language, mixing, packing, quality, toxicity
+from epidw.llm import chat, codes, exact, fingerprints, jaccard, language, mixing, packing, quality, toxicity
 from epidw.llm.common import scratch_path, table
 
 CONTROL = "</s>[INST] ok [/INST]"
@@ -47,6 +47,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render_conversations(turns.unionByName(added)))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_classes(table(spark, sf_dir, "documents"), size=4, percent=85).drop("node")
+
+
 def op8_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "codes")
     codes.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
@@ -69,7 +73,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_language, op2_packing, op3_toxicity, op4_fingerprints, op5_exact_dedup, op6_chat_format, op8_codes, op9_quality, op10_mixing)}
+        op1_language, op2_packing, op3_toxicity, op4_fingerprints, op5_exact_dedup, op6_chat_format, op7_ngram_join,
+        op8_codes, op9_quality, op10_mixing)}
 
 
 OP5_SQL = """
