@@ -63,6 +63,7 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     width = min(size, count)
     total = np.full(count - width + 1, width, np.uint64)
     for place in range(width):
-        factor = np.uint64((RADIX * (2 * place + 3)) & 0xFFFFFFFFFFFFFFFF | 1)
-        total = mix(total + words[place : place + count - width + 1] * factor)
+        total *= np.uint64(0xD6E8FEB86659FD93)
+        total ^= words[place : place + count - width + 1]
+        total = mix(total)
     return total

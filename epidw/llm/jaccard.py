@@ -13,9 +13,10 @@ first a - ceil(t a) + 1 shingles in global order two linked sets share one.
 with the depth each shares with the one before. The overlap along a shared path is computed once, and a subtree is left
 as soon as the overlap so far and the lengths that remain can't reach the threshold.
 
-*Rounds.* The members of a signature are compared with one of them, not all with all; found links make components, and
-only members of different components that have not been compared go on. The last round compares all that is left, so no
-link between different components is lost. Everything between the steps is a written table of ids and hashes.
+*Rounds.* The members of a signature are compared with one of them, not all with all; found links make components. Only
+members of different components that have not been compared go on, and of these only such as have enough shingles that
+occur in another component too. The last round compares all that is left, so no link between components is lost.
+Everything between the steps is a written table of ids and hashes.
 """
 
 from __future__ import annotations
@@ -39,8 +40,6 @@ CLASS_FACTOR = 1.6
 REMEMBERED = 200_000
 #: sets compared with one query set at a time; also the number of compared pairs dealt to one task's turn
 TRIE_SETS = 256
-#: rounds that compare with one member per signature before all remaining pairs are compared
-STAR_ROUNDS = 3
 #: nodes to compare are broadcast for the text scan up to this count, and joined by a shuffle beyond it
 BROADCAST_NODES = 1_000_000
 
@@ -53,12 +52,22 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
         part, ends = data[low : int(starts[b])], starts[a + 1 : b + 1] - low
         begin, stop = run_bounds(~SPACE[part], ends)
         words = span_hashes(LOWER[part], begin, stop)
+        hashes = shingle_hashes(words, size)  # those that run on into the next text are left out below
         first = 0
         for last in np.searchsorted(begin, ends).tolist():
-            yield np.unique(shingle_hashes(words[first:last], size))
+            found = hashes[first : last - size + 1] if last - first >= size else shingle_hashes(words[first:last], size)
+            yield distinct(found)
             first = last
 
 
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    found = np.sort(hashes)
+    new = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    return found[new]
+
+
 def node_of(shingles: np.ndarray) -> int:
     """Identifier of a set; that two sets of n share one is as likely as n * n in 2**65."""
     total = np.add.reduce(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)))
@@ -127,9 +136,9 @@ def linked(query: np.ndarray, sets: list[np.ndarray], percent: int) -> list[bool
         if overlap[shared] + min(len(path) - shared, len(query) - overlap[shared]) < need:
             previous, reached = path, overlap
             continue
-        depth = shared
+        depth, ahead = shared, 64
         while depth < len(path):
-            step = path[depth : depth + 64]
+            step, ahead = path[depth : depth + ahead], ahead * 8
             place = np.minimum(np.searchsorted(query, step), len(query) - 1)
             overlap = np.concatenate([overlap, overlap[-1] + np.cumsum(query[place] == step)])
             depth += len(step)
@@ -153,9 +162,10 @@ def near_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     """
     if not 63 <= percent <= 100:
         raise ValueError("percent must be from 63 to 100")
-    rows = docs.select("doc_id", "text")
-    nodes = written(_nodes(rows, size), "nodes")
-    meetings = written(_meetings(rows, size, percent), "meetings")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    described = written(_describe(rows, size, percent), "described")
+    nodes = described.filter("sig IS NULL").drop("sig")
+    meetings = written(_meetings(described.filter("sig IS NOT NULL").select("sig", "node")), "meetings")
     components = _components(rows, nodes, meetings, size, percent)
     named = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.filter("node IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
@@ -164,72 +174,64 @@ def near_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     return together.unionByName(alone)
 
 
-def _nodes(docs: DataFrame, size: int) -> DataFrame:
+def _describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """A row for each document, without ``sig``, and rows of ``sig`` and ``node`` for the signatures of each node."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "text_hash", "n_shingles", "node", "sig"]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: OrderedDict[int, None] = OrderedDict()
         for batch in batches:
-            found = [(len(s), node_of(s) if len(s) else None) for s in shingle_sets(batch.column("text"), size)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array([n for n, _ in found], pa.int64()),
-                 pa.array([k for _, k in found], pa.int64())],
-                ["doc_id", "text_hash", "n_shingles", "node"])
+            kind, sizes, known, held, count = batch.column("doc_id").type, [], [], [], 0
 
-    hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return hashed.mapInArrow(describe, f"doc_id {id_type}, text_hash long, n_shingles long, node long")
+            def signed() -> pa.RecordBatch:
+                sigs = np.concatenate([found for found, _ in held]).view(np.int64)
+                of = np.repeat(np.array([node for _, node in held], np.int64), [len(found) for found, _ in held])
+                none = pa.nulls(len(sigs), pa.int64())
+                return pa.RecordBatch.from_arrays([none.cast(kind), none, none, pa.array(of), pa.array(sigs)], names)  # noqa: B023
 
-
-def _meetings(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(``sig``, ``node``, ``center``): nodes that share a signature, beside the smallest of them, which is left out."""
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: OrderedDict[int, None] = OrderedDict()
-        for batch in batches:
-            held, count = [], 0
             for shingles in shingle_sets(batch.column("text"), size):
-                if len(shingles) and (node := node_of(shingles)) not in sent:
+                node = node_of(shingles) if len(shingles) else None
+                sizes.append(len(shingles))
+                known.append(node)
+                if node is not None and node not in sent:
                     sent[node] = None
                     if len(sent) > REMEMBERED:
                         sent.popitem(last=False)
-                    found = np.unique(signatures(shingles, percent))
-                    held.append((found, node))
-                    count += len(found)
+                    held.append((distinct(signatures(shingles, percent)), node))
+                    count += len(held[-1][0])
                     if count > 1 << 16:
-                        yield _signature_batch(held)
+                        yield signed()
                         held, count = [], 0
             if held:
-                yield _signature_batch(held)
+                yield signed()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
+                 pa.nulls(len(sizes), pa.int64())], names)
 
-    sent = docs.select("text").mapInArrow(send, "sig long, node long").repartition("sig")
-    ordered = Window.partitionBy("sig").orderBy("node")
-    met = sent.select("sig", "node", F.first("node").over(ordered).alias("center"), F.lag("node").over(ordered).alias("before"))
-    return met.filter("before IS NOT NULL AND node <> before").select("sig", "node", "center")
+    return docs.mapInArrow(describe, f"doc_id {id_type}, text_hash long, n_shingles long, node long, sig long")
 
 
-def _signature_batch(held: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
-    sigs = np.concatenate([found for found, _ in held]).view(np.int64)
-    nodes = np.repeat(np.array([node for _, node in held], np.int64), [len(found) for found, _ in held])
-    return pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(nodes)], ["sig", "node"])
+def _meetings(signed: DataFrame) -> DataFrame:
+    """(``sig``, ``node``, ``center``): nodes that share a signature, beside the smallest of them, which is left out."""
+    ordered = Window.partitionBy("sig").orderBy("node")
+    met = signed.repartition("sig").select(
+        "sig", "node", F.first("node").over(ordered).alias("center"), F.lag("node").over(ordered).alias("before")
+    )
+    return met.filter("before IS NOT NULL AND node <> before").select("sig", "node", "center")
 
 
 def _components(docs: DataFrame, nodes: DataFrame, meetings: DataFrame, size: int, percent: int) -> DataFrame:
-    """``node`` and ``component`` of all nodes that meet others."""
+    """``node`` and ``component`` of all nodes that link."""
     members = meetings.select("sig", "node").unionByName(meetings.select("sig", F.col("center").alias("node")).distinct())
     pairs = meetings.select(F.col("center").alias("one"), F.col("node").alias("other")).distinct()
     tested = written(_compare(docs, nodes, pairs, size, percent), "compared")
     components = _connect(tested.filter("links").select("one", "other"))
-    for turn in range(1, STAR_ROUNDS + 1):
-        open_members = written(_unsettled(members, components), "unsettled")
-        if open_members.isEmpty():
+    for last in (False, True):
+        left = written(_promising(docs, nodes, _unsettled(members, components), size, percent), "promising")
+        if left.isEmpty():
             break
-        if turn < STAR_ROUNDS:
-            by_turn = Window.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(turn)), "node")
-            stars = open_members.select("node", "component", F.first(F.struct("node", "component")).over(by_turn).alias("center"))
-            pairs = stars.filter("component <> center.component").select(F.col("center.node").alias("a"), F.col("node").alias("b"))
-        else:
-            left, right = open_members.alias("l"), open_members.alias("r")
-            pairs = left.join(right, F.expr("l.sig = r.sig AND l.node < r.node AND l.component <> r.component"))
-            pairs = pairs.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+        pairs = (_all_pairs if last else _stars)(left, percent)
         pairs = pairs.select(F.least("a", "b").alias("one"), F.greatest("a", "b").alias("other")).distinct()
         fresh = pairs.join(tested.select("one", "other"), ["one", "other"], "left_anti")
         compared = written(_compare(docs, nodes, fresh, size, percent), "compared")
@@ -239,6 +241,22 @@ def _components(docs: DataFrame, nodes: DataFrame, meetings: DataFrame, size: in
     return components
 
 
+def _stars(members: DataFrame, percent: int) -> DataFrame:
+    """Each member of a signature with one of them, another than in the first round, if they can still link."""
+    by_turn = Window.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(1)), "node")
+    center = F.first(F.struct("node", "component", "shared", "n_shingles")).over(by_turn).alias("c")
+    met = members.select("node", "component", "shared", "n_shingles", center)
+    can = F.least("shared", "c.shared") * (100 + percent) >= (F.col("n_shingles") + F.col("c.n_shingles")) * percent
+    return met.filter((F.col("component") != F.col("c.component")) & can).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
+
+
+def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """All members of different components that share a signature and can still link."""
+    can = f"least(l.shared, r.shared) * {100 + percent} >= (l.n_shingles + r.n_shingles) * {percent}"
+    met = members.alias("l").join(members.alias("r"), F.expr(f"l.sig = r.sig AND l.node < r.node AND l.component <> r.component AND {can}"))
+    return met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+
+
 def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
     """Members of the signatures that three or more nodes of several components share.
 
@@ -249,20 +267,54 @@ def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
     return known.join(several.filter("low < high AND size > 2").select("sig"), "sig")
 
 
-def _compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``pairs`` (``one``, ``other``) with ``links``. A set that meets many is sent to as many tasks as it needs."""
-    pairs = written(pairs.select("one", "other"), "pairs")
-    wanted = pairs.select(F.col("one").alias("node")).unionByName(pairs.select(F.col("other").alias("node"))).distinct()
-    # the text of one document of each node
+def _promising(docs: DataFrame, nodes: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
+    """The members that can link beyond their component, with ``n_shingles`` and ``shared``.
+
+    A shingle that no other component has can't be in an overlap with one. So ``shared``, the number of the others, is
+    all that can remain of a set, and it must reach the overlap asked for with the smallest set of the signature.
+    """
+    members = written(members, "members")
+    who = members.select("node", "component").distinct()
+    texts = _texts(docs, nodes, who.select("node")).join(who, "node")
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, shingles in enumerate(shingle_sets(batch.column("text"), size)):
+                columns = [pa.array(shingles.view(np.int64))]
+                columns += [pa.array(np.full(len(shingles), batch.column(c)[at].as_py(), np.int64)) for c in ("node", "component")]
+                yield pa.RecordBatch.from_arrays(columns, ["shingle", "node", "component"])
+
+    spelled = texts.select("text", "node", "component").mapInArrow(spell, "shingle long, node long, component long")
+    within = Window.partitionBy("shingle")
+    common = spelled.select("node", F.min("component").over(within).alias("low"), F.max("component").over(within).alias("high"))
+    shared = common.filter("low < high").groupBy("node").agg(F.count("*").alias("shared"))
+    sized = nodes.select("node", "n_shingles").join(shared, "node").distinct()
+    smallest = F.min("n_shingles").over(Window.partitionBy("sig"))
+    known = members.join(sized, "node").withColumn("least", F.greatest(smallest, F.ceil(F.col("n_shingles") * percent / 100)))
+    able = known.filter(F.col("shared") * (100 + percent) >= (F.col("n_shingles") + F.col("least")) * percent)
+    by_sig = Window.partitionBy("sig")
+    able = able.withColumn("low", F.min("component").over(by_sig)).withColumn("high", F.max("component").over(by_sig))
+    return able.filter("low < high").select("sig", "node", "component", "n_shingles", "shared")
+
+
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of one document for each wanted node; fully repeated rows give it as often."""
     first = nodes.join(wanted, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     chosen = written(first.select("node", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash")), "wanted")
     if chosen.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES:
         chosen = F.broadcast(chosen)
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    same = hashed["doc_id"].eqNullSafe(chosen["first_id"]) & (hashed["text_hash"] == chosen["first_hash"])
-    texts = hashed.join(chosen, same).select("node", "text")
-    turn = F.floor((F.row_number().over(Window.partitionBy("one").orderBy("other")) - 1) / TRIE_SETS)
-    dealt = written(pairs.select("one", "other", turn.alias("turn")), "dealt")
+    same = docs["doc_id"].eqNullSafe(chosen["first_id"]) & (docs["text_hash"] == chosen["first_hash"])
+    return docs.join(chosen, same).select("node", "text")
+
+
+def _compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``pairs`` (``one``, ``other``) with ``links``. A set that meets many is dealt to as many turns as it needs."""
+    pairs = written(pairs.select("one", "other"), "pairs")
+    wanted = pairs.select(F.col("one").alias("node")).unionByName(pairs.select(F.col("other").alias("node"))).distinct()
+    texts = _texts(docs, nodes, wanted)
+    turns = pairs.groupBy("one").agg(F.ceil(F.count("*") / TRIE_SETS).alias("turns"))
+    dealt = pairs.join(turns, "one").select("one", "other", F.pmod(F.xxhash64("other"), "turns").alias("turn"))
+    dealt = written(dealt, "dealt")
     queries = dealt.select("one", "turn").distinct().join(texts.withColumnRenamed("node", "one"), "one")
     queries = queries.select("one", "turn", F.lit(None).cast("long").alias("other"), "text")
     stored = dealt.join(texts.withColumnRenamed("node", "other"), "other").select("one", "turn", "other", "text")
@@ -285,6 +337,9 @@ def _compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, per
                         yield answers()
                     query, held = (one, shingles), []
                 elif not held or held[-1][0] != other:
+                    if len(held) == TRIE_SETS:
+                        yield answers()
+                        held = []
                     held.append((other, shingles))
         if held:
             yield answers()
