@@ -86,7 +86,7 @@ def row_sums(column: pa.Array, measure: Callable[[np.ndarray, np.ndarray, np.nda
     """
     data, starts = utf8(column)
     out = np.zeros((len(starts) - 1, width))
-    for a, b in slices(starts):
+    for a, b in slices(starts, SLICE_BYTES):
         low, high = int(starts[a]), int(starts[b])
         if high - low <= SLICE_BYTES:
             out[a:b] = measure(data[low:high], starts[a:b] - low, starts[a + 1 : b + 1] - low)

@@ -90,17 +90,27 @@ def size_class(size: int) -> tuple[int, int]:
 
 
 def part_signatures(shingles: np.ndarray, low: int, high: int, percent: int) -> np.ndarray:
-    """A signature for each part of the hash range, for partners in the class from ``low`` to ``high``."""
+    """Signatures of parts of the hash range, for partners in the class from ``low`` to ``high``.
+
+    Only the first parts are sent: so many that some ``same`` of them agree with any partner that links. The smaller set
+    of a pair sends the fewer parts, and the larger one sends those too.
+    """
+    size = len(shingles)
     parts = most_differing(2 * (high - 1), percent) + 2
+    differing = most_differing(size + min(high - 1, size * 100 // percent), percent)
+    sent = min(parts, differing + 2 + parts // 16)
+    same = sent - differing
     place = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    end = int(np.searchsorted(place, np.uint64(sent)))
+    if not end:
+        return mix(mix(np.arange(sent, dtype=np.uint64) + np.uint64(low)) + np.uint64(parts))
+    shingles, place = shingles[:end], place[:end]
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     sums = np.add.reduceat(mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)), first)
     found = mix(sums + (place[first] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(low))
-    largest = min(high - 1, len(shingles) * 100 // percent)
-    same = parts - most_differing(len(shingles) + largest, percent)  # at least so many parts agree
-    if parts - len(first) < same:
+    if sent - len(first) < same:
         return found
-    empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), place)
+    empty = np.setdiff1d(np.arange(sent, dtype=np.uint64), place)
     return np.concatenate([found, mix(mix(empty + np.uint64(low)) + np.uint64(parts))])
 
 
@@ -152,7 +162,8 @@ def linked(query: np.ndarray, sets: list[np.ndarray], percent: int) -> list[bool
 
 
 def near_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per document (columns ``doc_id``, ``text``): ``doc_id``, ``n_shingles``, ``component_id``, ``node``.
+    """One row per document (columns ``doc_id``, ``text``): ``doc_id``, ``n_shingles``, ``component_id``, and the
+    identifiers of its set (``node``), of its class (``component``) and of its text (``text_hash``).
 
     Documents link when the Jaccard similarity of their sets of ``size``-word shingles is ``percent`` or more;
     ``component_id`` is the smallest ``doc_id`` that links lead to. A text with fewer words is one shingle. A null text
@@ -169,8 +180,9 @@ def near_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     components = _components(rows, nodes, meetings, size, percent)
     named = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.filter("node IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
-    alone = named.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node")
-    together = named.join(smallest, "component").select("doc_id", "n_shingles", F.col("smallest").alias("component_id"), "node")
+    inner = ["node", "component", "text_hash"]
+    alone = named.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *inner)
+    together = named.join(smallest, "component").select("doc_id", "n_shingles", F.col("smallest").alias("component_id"), *inner)
     return together.unionByName(alone)
 
 
@@ -363,17 +375,21 @@ def _connect(links: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each near-duplicate class its smallest ``doc_id``.
+    """The rows of ``docs`` that stay, with all their columns: of each near-duplicate class that of the smallest ``doc_id``.
 
-    Texts without words are linked with nothing and all stay. Rows that repeat the ``doc_id`` that stays are told
-    apart by their text, and one of them stays.
+    Texts without words are linked with nothing and all stay. Rows are known by ``doc_id`` and text, so rows that repeat
+    an id are judged each by its own text, and of fully repeated rows one stays. A null ``doc_id`` stays only if its class
+    has no other.
     """
-    found = near_classes(docs, size, percent)
-    lost = found.filter("node IS NOT NULL AND NOT doc_id <=> component_id").select(F.col("doc_id").alias("__lost")).distinct()
-    doubled = found.filter("node IS NOT NULL AND doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("times"))
-    doubled = doubled.filter("times > 1").select(F.col("doc_id").alias("__doubled"))
-    kept = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("__lost")), "left_anti")
-    is_doubled = F.col("doc_id").eqNullSafe(F.col("__doubled"))
-    first = Window.partitionBy("doc_id").orderBy("text")
-    some = kept.join(doubled, is_doubled, "left_semi").withColumn("__row", F.row_number().over(first)).filter("__row = 1").drop("__row")
-    return kept.join(doubled, is_doubled, "left_anti").unionByName(some)
+    found = near_classes(docs, size, percent).filter("node IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+    rows = found.join(found.groupBy("component").agg(first.alias("first")), "component")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    keys = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")]
+    lost = rows.filter(~stays).select(*keys).distinct()
+    doubled = rows.filter(stays).groupBy(*keys).count().filter("count > 1").select("__id", "__hash")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    kept = docs.withColumn("__text", F.xxhash64("text")).join(lost, same, "left_anti")
+    copies = Window.partitionBy("doc_id", "__text").orderBy(F.lit(1))
+    once = kept.join(doubled, same, "left_semi").withColumn("__row", F.row_number().over(copies)).filter("__row = 1").drop("__row")
+    return kept.join(doubled, same, "left_anti").unionByName(once).drop("__text")

@@ -48,7 +48,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_classes(table(spark, sf_dir, "documents"), size=4, percent=85).drop("node")
+    return jaccard.near_classes(table(spark, sf_dir, "documents"), size=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
 def op8_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
