@@ -66,8 +66,9 @@ def lookup(
     ``on`` maps row columns to dimension attributes; ``also`` may add a residual
     condition over the attributes named in ``needs``. While the dimension fits the
     budget it is broadcast and the rows do not move. Beyond it, every dimension row
-    is copied once per salt and the rows, salted at the scan, are shuffled on
-    attributes plus salt: no attribute value can overload one task.
+    is copied once per salt and rows that were salted at the scan are shuffled on
+    attributes plus salt; rows without a salt take a plain join, whose skewed
+    partitions adaptive execution splits.
     """
     name = lambda attribute: f"_dim_{attribute}"
     kept = dict.fromkeys([*on.values(), *needs])
@@ -78,9 +79,7 @@ def lookup(
     extra = []
     if fits_broadcast(dimension, budget):
         side = F.broadcast(side)
-    else:
-        if _SALT not in rows.columns:
-            raise ValueError("the dimension exceeds the broadcast budget: call with_salt on the scanned rows first")
+    elif _SALT in rows.columns:
         side = side.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         conditions.append(F.col(_SALT) == F.col("_dim_salt"))
         extra = ["_dim_salt"]

@@ -486,7 +486,10 @@ def _profiles() -> dict[str, str]:
         f"SELECT Municipio, count(*) AS casos, count(*) FILTER (WHERE Evolucao = '{d.COVID_DEATH}') AS obitos FROM raw"
         f" WHERE {f_confirmed()} AND Municipio IS NOT NULL GROUP BY 1 ORDER BY casos DESC, Municipio LIMIT 5"
     )
-    crosstab = ", ".join(f"count(*) FILTER (WHERE Evolucao = '{v}') AS \"{v}\"" for v in d.OUTCOMES)
+    crosstab = (
+        f"SELECT Municipio, Evolucao, count(*) AS casos FROM raw WHERE {f_confirmed()} AND Evolucao IS NOT NULL"
+        f" AND Municipio IN (SELECT Municipio FROM ({busiest}) b) GROUP BY 1, 2"
+    )
     statements = {
         "null_report": report("{c} IS NULL", " WHERE nulos > 0"),
         "null_empty_report": report("{c} IS NULL OR {c} = ''"),
@@ -510,8 +513,9 @@ def _profiles() -> dict[str, str]:
             " WHERE DataCadastro IS NOT NULL GROUP BY 1"
         ),
         "crosstab_top5": (
-            f"SELECT Municipio, {crosstab} FROM raw WHERE {f_confirmed()} AND Evolucao IS NOT NULL"
-            f" AND Municipio IN (SELECT Municipio FROM ({busiest}) b) GROUP BY 1"
+            f"SELECT t.Municipio, o.Evolucao, coalesce(c.casos, 0) AS casos FROM ({busiest}) t"
+            f" CROSS JOIN (SELECT DISTINCT Evolucao FROM ({crosstab}) x) o"
+            f" LEFT JOIN ({crosstab}) c ON c.Municipio = t.Municipio AND c.Evolucao = o.Evolucao"
         ),
         "highest_lethality": (
             f"SELECT Municipio, casos, obitos, {_share('obitos', 'casos')} AS taxa_letalidade FROM ({busiest}) b"

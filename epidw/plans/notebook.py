@@ -63,26 +63,28 @@ def monthly_series_strict(raw: DataFrame, date: str = "DataNotificacao") -> Data
 
 
 def _cases(raw: DataFrame) -> DataFrame:
-    """Confirmed cases per municipio and outcome: the small frame both analyses below share."""
+    """Confirmed cases per municipio and outcome: at most one row a pair."""
     located = confirmed(raw).filter(F.col("Municipio").isNotNull())
     return located.groupBy("Municipio", "Evolucao").agg(F.count("*").alias("casos"))
 
 
-def _busiest(cases: DataFrame, n: int) -> DataFrame:
-    totals = cases.groupBy("Municipio").agg(F.sum("casos").alias("total"))
-    return totals.orderBy(F.desc("total"), "Municipio").limit(n)
+def outcome_crosstab(raw: DataFrame, n: int = 5) -> DataFrame:
+    """Municipios with most confirmed cases by every outcome that occurs among them, 0 where a pair does not occur.
 
-
-def outcome_crosstab(raw: DataFrame, outcomes: Sequence[str] | None = None, n: int = 5) -> DataFrame:
-    """Municipios with most confirmed cases by outcome, 0 where a pair does not occur.
-
-    Without ``outcomes`` the columns are the outcomes found in the data.
+    One scan and one aggregation: the few rows of the top meet in one row, which is unfolded again.
     """
-    cases = _cases(raw)
-    top = F.broadcast(_busiest(cases, n).select("Municipio"))  # n rows
-    chosen = cases.join(top, "Municipio", "left_semi").filter(F.col("Evolucao").isNotNull())
-    pivot = chosen.groupBy("Municipio").pivot("Evolucao", list(outcomes) if outcomes else None)
-    return pivot.agg(F.sum("casos")).fillna(0).orderBy("Municipio")
+    outcome = F.when(F.col("Evolucao").isNotNull(), F.struct("Evolucao", "casos"))
+    by_place = _cases(raw).groupBy("Municipio").agg(
+        F.sum("casos").alias("total"), F.map_from_entries(F.collect_list(outcome)).alias("por_evolucao")
+    )
+    top = by_place.orderBy(F.desc("total"), "Municipio").limit(n)
+    folded = top.agg(
+        F.collect_list(F.struct("Municipio", "por_evolucao")).alias("linhas"),
+        F.array_distinct(F.flatten(F.collect_list(F.map_keys("por_evolucao")))).alias("evolucoes"),
+    )
+    pairs = folded.select("evolucoes", F.explode("linhas").alias("linha")).select("linha", F.explode("evolucoes").alias("Evolucao"))
+    cases = F.coalesce(F.col("linha.por_evolucao")[F.col("Evolucao")], F.lit(0).cast("long"))
+    return pairs.select(F.col("linha.Municipio").alias("Municipio"), "Evolucao", cases.alias("casos")).orderBy("Municipio", "Evolucao")
 
 
 def lethality_of_busiest(raw: DataFrame, n: int = 5) -> DataFrame:

@@ -257,7 +257,7 @@ def queries() -> dict[str, Query]:
         "comorbidities_in_deaths_exact": _on_raw(notebook.comorbidities_in_deaths),
         "leading_comorbidity": _on_raw(notebook.leading_comorbidity),
         "monthly_series_strict": _on_raw(lambda raw: notebook.monthly_series_strict(raw, "DataCadastro")),
-        "crosstab_top5": _on_raw(lambda raw: notebook.outcome_crosstab(raw, d.OUTCOMES)),
+        "crosstab_top5": _on_raw(notebook.outcome_crosstab),
         "highest_lethality": _on_raw(notebook.highest_lethality),
         # dashboards
         **_panel_queries(),

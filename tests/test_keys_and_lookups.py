@@ -51,10 +51,10 @@ def test_broadcast_and_salted_lookup_agree_on_a_hot_key(spark, folder):
     assert salted.filter("sk is null").count() > 0
 
 
-def test_salted_lookup_needs_a_salt(spark):
+def test_large_dimensions_join_rows_without_a_salt(spark):
+    named = spark.createDataFrame([("a",), ("b",)], "name string")
     one = spark.createDataFrame([("a", 1)], "name string, sk int")
-    with pytest.raises(ValueError, match="with_salt"):
-        lookup.lookup(one, one, {"name": "name"}, "sk", budget=0)
+    assert rows(lookup.lookup(named, one, {"name": "name"}, "sk", budget=0)) == [("a", 1), ("b", None)]
 
 
 DIM = "sk_local int, municipio string, populacao_municipio int, data_inicio date, data_fim date, flag_atual boolean, nk string"
