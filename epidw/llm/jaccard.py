@@ -13,9 +13,10 @@ first a - ceil(t a) + 1 shingles in global order two linked sets share one.
 with the depth each shares with the one before. The overlap along a shared path is computed once, and a subtree is left
 as soon as the overlap so far and the lengths that remain can't reach the threshold.
 
-*Rounds.* The members of a signature are compared with one of them, not all with all; found links make components. Only
-members of different components that have not been compared go on, and of these only such as have enough shingles that
-occur in another component too. The last round compares all that is left, so no link between components is lost.
+*Rounds.* The members of a signature are compared with one of them, not all with all: each set first with that one of
+these it shares most signatures with, then with those outside its component. Found links make components. Only members
+of different components that have not been compared go on, and of these only such as have enough shingles that occur in
+another component too. The last round compares all that is left, so no link between components is lost.
 Everything between the steps is a written table of ids and hashes.
 """
 
@@ -236,9 +237,16 @@ def _meetings(signed: DataFrame) -> DataFrame:
 def _components(docs: DataFrame, nodes: DataFrame, meetings: DataFrame, size: int, percent: int) -> DataFrame:
     """``node`` and ``component`` of all nodes that link."""
     members = meetings.select("sig", "node").unionByName(meetings.select("sig", F.col("center").alias("node")).distinct())
-    pairs = meetings.select(F.col("center").alias("one"), F.col("node").alias("other")).distinct()
-    tested = written(_compare(docs, nodes, pairs, size, percent), "compared")
+    met = meetings.groupBy(F.col("center").alias("one"), F.col("node").alias("other")).agg(F.count("*").alias("times"))
+    met = written(met, "met")
+    nearest = met.groupBy("other").agg(F.max(F.struct("times", "one")).alias("nearest")).select("nearest.one", "other")
+    tested = written(_compare(docs, nodes, nearest, size, percent), "compared")
     components = _connect(tested.filter("links").select("one", "other"))
+    fresh = _apart(met.select("one", "other"), components).join(tested.select("one", "other"), ["one", "other"], "left_anti")
+    compared = written(_compare(docs, nodes, fresh, size, percent), "compared")
+    tested = tested.unionByName(compared)
+    if not compared.filter("links").isEmpty():
+        components = _connect(tested.filter("links").select("one", "other"))
     for last in (False, True):
         left = written(_promising(docs, nodes, _unsettled(members, components), size, percent), "promising")
         if left.isEmpty():
@@ -253,6 +261,14 @@ def _components(docs: DataFrame, nodes: DataFrame, meetings: DataFrame, size: in
     return components
 
 
+def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """The pairs whose nodes are not in one component."""
+    one = components.select(F.col("node").alias("one"), F.col("component").alias("one_in"))
+    other = components.select(F.col("node").alias("other"), F.col("component").alias("other_in"))
+    known = pairs.join(one, "one", "left").join(other, "other", "left")
+    return known.filter("coalesce(one_in, one) <> coalesce(other_in, other)").select("one", "other")
+
+
 def _stars(members: DataFrame, percent: int) -> DataFrame:
     """Each member of a signature with one of them, another than in the first round, if they can still link."""
     by_turn = Window.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(1)), "node")
@@ -272,7 +288,7 @@ def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
 def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
     """Members of the signatures that three or more nodes of several components share.
 
-    The only pair of a signature with two members has been compared in the first round.
+    The only pair of a signature with two members has been compared or is in one component.
     """
     known = members.join(components, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
     several = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
