@@ -11,6 +11,7 @@ from epidw import domain as d, schemas
 from epidw.functions.dates import all_of, date_key, pick_label
 from epidw.functions.text import remove_accents
 from epidw.operators.keys import contiguous_ids
+from epidw.operators.lookup import fits_broadcast
 from epidw.operators.scd2 import apply_changes, open_version
 from epidw.session import literal_rows
 
@@ -79,10 +80,13 @@ def region_lookup(
 
 def with_region(localities: DataFrame, municipio: str = "municipio", lookup: DataFrame | None = None) -> DataFrame:
     """Add uf, region, macro-region and inhabitants; a municipio outside the table gets the defaults."""
-    lookup = region_lookup(localities.sparkSession) if lookup is None else lookup
+    if lookup is None:
+        lookup = F.broadcast(region_lookup(localities.sparkSession))
+    elif fits_broadcast(lookup):
+        lookup = F.broadcast(lookup)
     known = localities.withColumn("_plain", remove_accents(F.col(municipio)))
-    # the configured table has a fixed number of rows, far below any broadcast limit
-    joined = known.join(F.broadcast(lookup), "_plain", "left").drop("_plain")
+    # the configured table has a fixed number of rows, far below any broadcast limit; another one is measured
+    joined = known.join(lookup, "_plain", "left").drop("_plain")
     elsewhere = F.lit(d.ELSEWHERE)
     return joined.withColumns({
         "uf": F.coalesce("uf", elsewhere),
