@@ -13,10 +13,15 @@ first a - ceil(t a) + 1 shingles in global order two linked sets share one.
 with the depth each shares with the one before. The overlap along a shared path is computed once, and a subtree is left
 as soon as the overlap so far and the lengths that remain can't reach the threshold.
 
+*Sketches.* A set's sketch holds, for each of 512 places, whether an odd number of its shingles falls there. Two sets
+differ in at least as many shingles as their sketches in places, so a pair whose sketches differ too much can't link and
+its texts are not read. Sets of some thousand shingles fill their sketches; for them this rules out little, never a link.
+
 *Rounds.* The members of a signature are compared with one of them, not all with all: each set first with that one of
 these it shares most signatures with, then with those outside its component. Found links make components. Only members
-of different components that have not been compared go on, and of these only such as have enough shingles that occur in
-another component too. The last round compares all that is left, so no link between components is lost.
+of different components that have not been compared go on. Where a signature has few members, their pairs are judged by
+sketch at once. Of the members of the others only such go on as have enough shingles that occur in another component
+too. The last round compares all that is left, so no link between components is lost.
 Everything between the steps is a written table of ids and hashes.
 """
 
@@ -39,6 +44,10 @@ PARTED = 64
 CLASS_FACTOR = 1.6
 #: nodes whose signatures a task remembers having sent, so that copies are folded before the shuffle
 REMEMBERED = 200_000
+#: 64-bit words of a sketch
+SKETCH_WORDS = 8
+#: up to so many members of a signature are paired at once, which keeps the pairs looked at in proportion to the members
+FEW_MEMBERS = 64
 #: sets compared with one query set at a time; also the number of compared pairs dealt to one task's turn
 TRIE_SETS = 256
 #: nodes to compare are broadcast for the text scan up to this count, and joined by a shuffle beyond it
@@ -75,6 +84,23 @@ def node_of(shingles: np.ndarray) -> int:
     return int(mix(np.array([total + np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """For each place, as a bit, whether an odd number of shingles falls there."""
+    places = 64 * SKETCH_WORDS
+    fallen = np.bincount((shingles % np.uint64(places)).astype(np.int64), minlength=places)
+    return np.packbits((fallen & 1).astype(np.uint8)).view(np.int64)
+
+
+def can_link(a: str, b: str, percent: int) -> str:
+    """Condition on ``n_shingles`` and ``bits`` of two sets, behind the given prefixes, that every pair that links meets."""
+    sizes = f"{a}n_shingles, {b}n_shingles"
+    apart = " + ".join(f"bit_count({a}bits[{i}] ^ {b}bits[{i}])" for i in range(SKETCH_WORDS))
+    return (
+        f"least({sizes}) * 100 >= greatest({sizes}) * {percent}"
+        f" AND ({apart}) * {100 + percent} <= ({a}n_shingles + {b}n_shingles) * {100 - percent}"
+    )
+
+
 def most_differing(total: int, percent: int) -> int:
     """Most shingles in which two sets of ``total`` shingles together can differ and still link."""
     return total * (100 - percent) // (100 + percent)
@@ -190,23 +216,25 @@ def near_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
 def _describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """A row for each document, without ``sig``, and rows of ``sig`` and ``node`` for the signatures of each node."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "text_hash", "n_shingles", "node", "sig"]
+    names = ["doc_id", "text_hash", "n_shingles", "node", "bits", "sig"]
+    words = pa.list_(pa.int64())
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: OrderedDict[int, None] = OrderedDict()
         for batch in batches:
-            kind, sizes, known, held, count = batch.column("doc_id").type, [], [], [], 0
+            kind, sizes, known, bits, held, count = batch.column("doc_id").type, [], [], [], [], 0
 
             def signed() -> pa.RecordBatch:
                 sigs = np.concatenate([found for found, _ in held]).view(np.int64)
                 of = np.repeat(np.array([node for _, node in held], np.int64), [len(found) for found, _ in held])
                 none = pa.nulls(len(sigs), pa.int64())
-                return pa.RecordBatch.from_arrays([none.cast(kind), none, none, pa.array(of), pa.array(sigs)], names)  # noqa: B023
+                return pa.RecordBatch.from_arrays([none.cast(kind), none, none, pa.array(of), pa.nulls(len(sigs), words), pa.array(sigs)], names)  # noqa: B023
 
             for shingles in shingle_sets(batch.column("text"), size):
                 node = node_of(shingles) if len(shingles) else None
                 sizes.append(len(shingles))
                 known.append(node)
+                bits.append(sketch(shingles))
                 if node is not None and node not in sent:
                     sent[node] = None
                     if len(sent) > REMEMBERED:
@@ -220,9 +248,9 @@ def _describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 yield signed()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
-                 pa.nulls(len(sizes), pa.int64())], names)
+                 pa.array(bits, words), pa.nulls(len(sizes), pa.int64())], names)
 
-    return docs.mapInArrow(describe, f"doc_id {id_type}, text_hash long, n_shingles long, node long, sig long")
+    return docs.mapInArrow(describe, f"doc_id {id_type}, text_hash long, n_shingles long, node long, bits array<long>, sig long")
 
 
 def _meetings(signed: DataFrame) -> DataFrame:
@@ -237,30 +265,41 @@ def _meetings(signed: DataFrame) -> DataFrame:
 def _components(docs: DataFrame, nodes: DataFrame, meetings: DataFrame, size: int, percent: int) -> DataFrame:
     """``node`` and ``component`` of all nodes that link."""
     members = meetings.select("sig", "node").unionByName(meetings.select("sig", F.col("center").alias("node")).distinct())
+    sets = written(nodes.filter("node IS NOT NULL").select("node", "n_shingles", "bits").dropDuplicates(["node"]), "sets")
     met = meetings.groupBy(F.col("center").alias("one"), F.col("node").alias("other")).agg(F.count("*").alias("times"))
-    met = written(met, "met")
+    met = written(_possible(met, sets, percent), "met")
     nearest = met.groupBy("other").agg(F.max(F.struct("times", "one")).alias("nearest")).select("nearest.one", "other")
     tested = written(_compare(docs, nodes, nearest, size, percent), "compared")
     components = _connect(tested.filter("links").select("one", "other"))
-    fresh = _apart(met.select("one", "other"), components).join(tested.select("one", "other"), ["one", "other"], "left_anti")
-    compared = written(_compare(docs, nodes, fresh, size, percent), "compared")
-    tested = tested.unionByName(compared)
-    if not compared.filter("links").isEmpty():
-        components = _connect(tested.filter("links").select("one", "other"))
-    for last in (False, True):
-        left = written(_promising(docs, nodes, _unsettled(members, components), size, percent), "promising")
-        if left.isEmpty():
-            break
-        pairs = (_all_pairs if last else _stars)(left, percent)
-        pairs = pairs.select(F.least("a", "b").alias("one"), F.greatest("a", "b").alias("other")).distinct()
+
+    def compared(pairs: DataFrame) -> None:
+        nonlocal tested, components
         fresh = pairs.join(tested.select("one", "other"), ["one", "other"], "left_anti")
-        compared = written(_compare(docs, nodes, fresh, size, percent), "compared")
-        tested = tested.unionByName(compared)
-        if not compared.filter("links").isEmpty():
+        answers = written(_compare(docs, nodes, fresh, size, percent), "compared")
+        tested = tested.unionByName(answers)
+        if not answers.filter("links").isEmpty():
             components = _connect(tested.filter("links").select("one", "other"))
+
+    compared(_apart(met.select("one", "other"), components))
+    few = _unsettled(members, components).filter(F.col("size") <= FEW_MEMBERS).join(sets, "node")
+    compared(_all_pairs(few, percent))
+    for pairs in (_stars, _all_pairs):
+        left = written(_unsettled(members, components).filter(F.col("size") > FEW_MEMBERS), "members")
+        if left.isEmpty():
+            break
+        able = written(_promising(docs, nodes, left, sets, size, percent), "promising")
+        if able.isEmpty():
+            break
+        compared(pairs(able, percent))
     return components
 
 
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and sketches allow a link."""
+    known = pairs.alias("p").join(sets.alias("l"), F.expr("p.one = l.node"))
+    return known.join(sets.alias("r"), F.expr(f"p.other = r.node AND {can_link('l.', 'r.', percent)}")).select("p.*")
+
+
 def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
     """The pairs whose nodes are not in one component."""
     one = components.select(F.col("node").alias("one"), F.col("component").alias("one_in"))
@@ -272,17 +311,17 @@ def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
 def _stars(members: DataFrame, percent: int) -> DataFrame:
     """Each member of a signature with one of them, another than in the first round, if they can still link."""
     by_turn = Window.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(1)), "node")
-    center = F.first(F.struct("node", "component", "shared", "n_shingles")).over(by_turn).alias("c")
-    met = members.select("node", "component", "shared", "n_shingles", center)
-    can = F.least("shared", "c.shared") * (100 + percent) >= (F.col("n_shingles") + F.col("c.n_shingles")) * percent
-    return met.filter((F.col("component") != F.col("c.component")) & can).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
+    center = F.first(F.struct("node", "component", "n_shingles", "bits")).over(by_turn).alias("c")
+    met = members.select("node", "component", "n_shingles", "bits", center)
+    met = met.filter("component <> c.component").filter(can_link("", "c.", percent))
+    return met.select(F.least("node", "c.node").alias("one"), F.greatest("node", "c.node").alias("other")).distinct()
 
 
 def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All members of different components that share a signature and can still link."""
-    can = f"least(l.shared, r.shared) * {100 + percent} >= (l.n_shingles + r.n_shingles) * {percent}"
-    met = members.alias("l").join(members.alias("r"), F.expr(f"l.sig = r.sig AND l.node < r.node AND l.component <> r.component AND {can}"))
-    return met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+    """The members of different components that share a signature and whose sizes and sketches allow a link."""
+    apart = f"l.sig = r.sig AND l.node < r.node AND l.component <> r.component AND {can_link('l.', 'r.', percent)}"
+    met = members.alias("l").join(members.alias("r"), F.expr(apart))
+    return met.select(F.col("l.node").alias("one"), F.col("r.node").alias("other")).distinct()
 
 
 def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
@@ -292,16 +331,15 @@ def _unsettled(members: DataFrame, components: DataFrame) -> DataFrame:
     """
     known = members.join(components, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
     several = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    return known.join(several.filter("low < high AND size > 2").select("sig"), "sig")
+    return known.join(several.filter("low < high AND size > 2").select("sig", "size"), "sig")
 
 
-def _promising(docs: DataFrame, nodes: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
-    """The members that can link beyond their component, with ``n_shingles`` and ``shared``.
+def _promising(docs: DataFrame, nodes: DataFrame, members: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """The members that can link beyond their component, with ``n_shingles`` and ``bits``.
 
     A shingle that no other component has can't be in an overlap with one. So ``shared``, the number of the others, is
     all that can remain of a set, and it must reach the overlap asked for with the smallest set of the signature.
     """
-    members = written(members, "members")
     who = members.select("node", "component").distinct()
     texts = _texts(docs, nodes, who.select("node")).join(who, "node")
 
@@ -316,13 +354,13 @@ def _promising(docs: DataFrame, nodes: DataFrame, members: DataFrame, size: int,
     within = Window.partitionBy("shingle")
     common = spelled.select("node", F.min("component").over(within).alias("low"), F.max("component").over(within).alias("high"))
     shared = common.filter("low < high").groupBy("node").agg(F.count("*").alias("shared"))
-    sized = nodes.select("node", "n_shingles").join(shared, "node").distinct()
+    sized = sets.join(shared, "node")
     smallest = F.min("n_shingles").over(Window.partitionBy("sig"))
     known = members.join(sized, "node").withColumn("least", F.greatest(smallest, F.ceil(F.col("n_shingles") * percent / 100)))
     able = known.filter(F.col("shared") * (100 + percent) >= (F.col("n_shingles") + F.col("least")) * percent)
     by_sig = Window.partitionBy("sig")
     able = able.withColumn("low", F.min("component").over(by_sig)).withColumn("high", F.max("component").over(by_sig))
-    return able.filter("low < high").select("sig", "node", "component", "n_shingles", "shared")
+    return able.filter("low < high").select("sig", "node", "component", "n_shingles", "bits")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -174,8 +174,9 @@ def brute_classes(rows, size, percent):
     return {d: (len(s), label[d]) for d, s in sets.items()}
 
 
-@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80)])
-def test_near_classes_equal_brute_force(spark, size, percent):
+@pytest.mark.parametrize("size,percent,few", [(4, 85, jaccard.FEW_MEMBERS), (5, 80, jaccard.FEW_MEMBERS), (4, 85, 2)])
+def test_near_classes_equal_brute_force(spark, monkeypatch, size, percent, few):
+    monkeypatch.setattr(jaccard, "FEW_MEMBERS", few)
     random.seed(percent)
     rows = []
     for base in (4, 12, 30, 70, 90, 150, 400):
@@ -203,6 +204,23 @@ def test_trie_walk_equals_set_arithmetic():
     assert jaccard.linked(query, others, 85) == expected and any(expected) and not all(expected)
 
 
+def test_sketches_rule_out_no_link(spark):
+    random.seed(4)
+    rows = []
+    for size in (1, 6, 40, 200, 3000):
+        one = random.sample(range(1 << 40), size)
+        for _ in range(20):
+            changed = random.randrange(0, 1 + size // 6)
+            other = one[changed // 2 :] + random.sample(range(1 << 41, 1 << 42), changed)
+            sets = [np.unique(np.array(s, np.uint64)) for s in (one, other)]
+            both = len(np.intersect1d(*sets))
+            links = 100 * both >= 85 * (len(sets[0]) + len(sets[1]) - both)
+            rows.append((*(x for s in sets for x in (len(s), jaccard.sketch(s).tolist())), links))
+    pairs = spark.createDataFrame(rows, "a_n_shingles long, a_bits array<long>, b_n_shingles long, b_bits array<long>, links boolean")
+    passed = [(r.links, r.can) for r in pairs.selectExpr("links", f"{jaccard.can_link('a_', 'b_', 85)} AS can").collect()]
+    assert (True, False) not in passed and (True, True) in passed and (False, False) in passed
+
+
 def test_near_classes_on_odd_tables(odd, empty):
     assert jaccard.near_classes(odd).count() == odd.count()
     kept = jaccard.one_of_each(odd)
