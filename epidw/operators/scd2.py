@@ -24,6 +24,18 @@ def current_versions(dimension: DataFrame) -> DataFrame:
     return dimension.filter(F.col(CURRENT))
 
 
+def _check_changes(dimension: DataFrame, changes: DataFrame, on: Sequence[str], since: dt.date) -> None:
+    """Raise on keys that two changes name, and on current versions that do not start before ``since``."""
+    keys = list(on)
+    repeated = changes.groupBy(*keys).count().filter("count > 1").select(*keys).limit(5).collect()
+    if repeated:
+        raise ValueError(f"several changes for one key: {[tuple(r) for r in repeated]}")
+    late = current_versions(dimension).filter(F.col(START) >= F.lit(since)).join(changes.select(*keys), keys, "left_semi")
+    early = late.select(*keys).distinct().limit(5).collect()
+    if early:
+        raise ValueError(f"changes as of {since}, not after the start of the current version: {[tuple(r) for r in early]}")
+
+
 def _changed(dimension: DataFrame, changes: DataFrame, on: Sequence[str]) -> DataFrame:
     """The dimension with a ``_hit`` mark on current rows that a change names."""
     touched = changes.select(*on).distinct().withColumn("_named", F.lit(True))
@@ -49,8 +61,10 @@ def apply_changes(
 
     ``changes`` carries the columns of ``on`` plus the attributes that take a new
     value. New keys continue after the highest one, in ``order_by`` order. The
-    dimension is read several times, so pass a written table.
+    dimension is read several times, so pass a written table. Two changes for one key, or a
+    ``since`` that is not after the start of a version it closes, raise ``ValueError``.
     """
+    _check_changes(dimension, changes, on, since)
     columns = dimension.columns
     marked = _changed(dimension, changes, on)
     replaced = [c for c in changes.columns if c not in on]
@@ -64,8 +78,10 @@ def upsert(dimension: DataFrame, members: DataFrame, natural_key: str, as_of: dt
     """Close the current row of each given natural key the day before ``as_of`` and insert the new version.
 
     ``members`` carries all descriptive attributes. A natural key that is not there
-    yet is simply inserted.
+    yet is simply inserted. Two members with one natural key, or an ``as_of`` that is not
+    after the start of a version it closes, raise ``ValueError``.
     """
+    _check_changes(dimension, members, [natural_key], as_of)
     columns = dimension.columns
     marked = _changed(dimension, members, [natural_key])
     versions = members.withColumns(open_version(as_of))

@@ -101,3 +101,14 @@ def test_upsert_closes_and_inserts(spark, dimension):
         (4, "C", dt.date(2023, 6, 1), None, True),
     ]
     assert scd2.current_versions(after).count() == 4
+
+
+def test_ambiguous_and_early_changes_are_refused(spark, dimension):
+    day = dt.date(2022, 1, 1)
+    name = dimension.first()["municipio"]
+    changes = dimension.filter(F.col("municipio") == name).select("municipio").distinct().withColumn("regiao_saude", F.lit("A"))
+    twice = changes.unionByName(changes.withColumn("regiao_saude", F.lit("B")))
+    with pytest.raises(ValueError, match="several changes"):
+        scd2.apply_changes(dimension, twice, ["municipio"], day, "sk_local", ["municipio"])
+    with pytest.raises(ValueError, match="not after the start"):
+        scd2.apply_changes(dimension, changes, ["municipio"], scd2.FIRST_DAY, "sk_local", ["municipio"])
