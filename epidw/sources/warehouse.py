@@ -62,10 +62,10 @@ class Warehouse(Mapping[str, DataFrame]):
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/{_PUBLISHED}")
 
     def create_views(self) -> None:
-        """Temporary views for SQL users, named like the tables with ``_`` for the dot."""
+        """Temporary views of the tables there are, for SQL users, named like them with ``_`` for the dot."""
         for table in schemas.TABLES:
             try:
-                self[table].createOrReplaceTempView(table.replace(".", "_"))
+                Warehouse.__getitem__(self, table).createOrReplaceTempView(table.replace(".", "_"))
             except KeyError:
                 continue
 
