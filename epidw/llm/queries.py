@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from epidw.llm import chat, codes, exact, fingerprints, jaccard, language, mixing, packing, quality, toxicity
+from epidw.llm import (
+    bitsliced, chat, codes, exact, fingerprints, jaccard, language, lexical, mixing, packing, periodic, quality, toxicity,
+)
 from epidw.llm.common import scratch_path, table
 
 CONTROL = "</s>[INST] ok [/INST]"
@@ -71,10 +75,44 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), weights=MIX)
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+def planted_period(doc_id: int | None, count: int) -> np.ndarray | None:
+    """Order of the words of every document whose hashed id ends in 0: periodic from one place on."""
+    if doc_id is None or not count:
+        return None
+    hashed = zlib.crc32(str(doc_id).encode())
+    if hashed % 10:
+        return None
+    g = hashed // 10
+    first = g % count
+    period = 1 + (count - first) // (3 + g % 8)
+    places = np.arange(count)
+    return np.where(places < first, places, first + (places - first) % period)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(table(spark, sf_dir, "documents"), planted_period)
+    key = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", F.array_max(key))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", line), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_language, op2_packing, op3_toxicity, op4_fingerprints, op5_exact_dedup, op6_chat_format, op7_ngram_join,
-        op8_codes, op9_quality, op10_mixing)}
+        op8_codes, op9_quality, op10_mixing, op11_topk, op12_periodic_runs, op13_search)}
 
 
 OP5_SQL = """
@@ -107,5 +145,44 @@ FROM e GROUP BY conv_id
 """
 
 
+OP11_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+OP13_TERM = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+OP13_SQL = f"""
+WITH w AS (
+    SELECT doc_id, unnest({OP13_TERM}) AS term FROM documents
+), p AS (
+    SELECT doc_id, term, count(*) AS tf FROM w GROUP BY ALL
+), d AS (
+    SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY doc_id
+), t AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d
+), i AS (
+    SELECT item_id, unnest({OP13_TERM}) AS term FROM benchmark
+), r AS (
+    SELECT item_id, term, count(*) AS repeats FROM i GROUP BY ALL
+), f AS (
+    SELECT term, count(*) AS df FROM p WHERE term IN (SELECT term FROM r) GROUP BY term
+), g AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM f, t
+), s AS (
+    SELECT item_id, doc_id, CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words)))) AS BIGINT) AS score
+    FROM r JOIN g USING (term) JOIN p USING (term) JOIN d USING (doc_id), t GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op6_chat_format": OP6_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op6_chat_format": OP6_SQL, "op11_topk": OP11_SQL, "op13_search": OP13_SQL}
