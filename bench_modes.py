@@ -1,4 +1,4 @@
-"""Direct mode against warehouse mode: no filter, one municipio, five municipios, three runs each."""
+"""Direct mode (one scan of the raw rows) against warehouse mode (the stored panels): no filter, one municipio, five municipios, three runs each."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from epidw.plans.refresh import refresh_direct, refresh_star
+from epidw.plans.shared_refresh import by_panel, refresh_all_direct, refresh_stored
 
 # the same places in the spelling of the raw file and of the warehouse
 SCENARIOS = {
@@ -31,8 +31,8 @@ def compare_modes(raw: DataFrame, tables) -> dict[str, dict[str, float]]:
     """Seconds per refresh: the first run apart, then the mean of three alternating runs, and their ratio."""
     found = {}
     for scenario, (spelled_raw, spelled_clean) in SCENARIOS.items():
-        direct = lambda: refresh_direct(raw, spelled_raw)  # noqa: B023, E731
-        warehouse = lambda: refresh_star(tables, spelled_clean)  # noqa: B023, E731
+        direct = lambda: by_panel(refresh_all_direct(raw, spelled_raw))  # noqa: B023, E731
+        warehouse = lambda: by_panel(refresh_stored(tables, spelled_clean))  # noqa: B023, E731
         first = timed(direct)[0], timed(warehouse)[0]
         runs = [(timed(direct)[0], timed(warehouse)[0]) for _ in range(RUNS)]
         direct_mean, dw_mean = (sum(times) / RUNS for times in zip(*runs))

@@ -273,6 +273,10 @@ def _value_counts(column: str, where: str) -> str:
 
 
 def _direct(municipios: tuple[str, ...], classes: tuple[str, ...]) -> dict[str, str]:
+    return {name: with_tables(sql, "raw") for name, sql in _direct_panels(municipios, classes).items()}
+
+
+def _direct_panels(municipios: tuple[str, ...], classes: tuple[str, ...]) -> dict[str, str]:
     chosen = [_in("Municipio", municipios), _in("Classificacao", classes)]
     where = _where(*chosen)
 
@@ -309,17 +313,23 @@ def _direct(municipios: tuple[str, ...], classes: tuple[str, ...]) -> dict[str,
         ),
         "lethality_by_municipio": lethal,
     }
-    return {name: with_tables(sql, "raw") for name, sql in statements.items()}
+    return statements
 
 
 def f_confirmed(column: str = "Classificacao") -> str:
     return f"{column} = '{d.CONFIRMED}'"
 
 
+BASE = ("fato", "dim_localidade", "dim_classificacao")
+
+
 def _dw(municipios: tuple[str, ...], classes: tuple[str, ...]) -> dict[str, str]:
+    return {name: with_tables(sql, *BASE, *more) for name, (sql, more) in _dw_panels(municipios, classes).items()}
+
+
+def _dw_panels(municipios: tuple[str, ...], classes: tuple[str, ...]) -> dict[str, tuple[str, tuple[str, ...]]]:
     chosen = [_in("l.municipio", municipios), _in("c.classificacao", classes)]
     star = "fato f JOIN dim_localidade l USING (sk_local) JOIN dim_classificacao c USING (sk_class)"
-    base = ("fato", "dim_localidade", "dim_classificacao")
 
     def total(expression: str) -> str:
         return f"CAST(coalesce(sum({expression}), 0) AS BIGINT)"
@@ -366,7 +376,7 @@ def _dw(municipios: tuple[str, ...], classes: tuple[str, ...]) -> dict[str, str]
         ),
         "lethality_by_municipio": (lethal, ()),
     }
-    return {name: with_tables(sql, *base, *more) for name, (sql, more) in statements.items()}
+    return statements
 
 
 def _panels() -> dict[str, str]:
@@ -383,6 +393,70 @@ def _panels() -> dict[str, str]:
     return found
 
 
+def _refreshed(panels: dict[str, str]) -> str:
+    """All panels below each other, from the statement of each."""
+    municipio = "municipio"  # names are compared without case
+    columns = {
+        "class_distribution": "Classificacao", "top_municipios": municipio, "age_band": "FaixaEtaria",
+        "symptoms": "sintoma", "comorbidities_in_deaths": "comorbidade", "monthly_series": "strftime(mes, '%Y-%m')",
+    }
+    values = {"symptoms": "registros", "comorbidities_in_deaths": "obitos"}
+    none = "CAST(NULL AS BIGINT) AS segundo, CAST(NULL AS DOUBLE) AS taxa_pct"
+    parts = [f"SELECT 'kpis' AS painel, '{k}' AS chave, CAST({k} AS BIGINT) AS valor, {none} FROM ({panels['kpis']}) k" for k in ("total", "suspeitos", "confirmados")]
+    for name, column in columns.items():
+        column = "faixa_etaria" if column == "FaixaEtaria" and "faixa_etaria" in panels[name] else column
+        parts.append(f"SELECT '{name}', {column}, CAST({values.get(name, 'total')} AS BIGINT), {none} FROM ({panels[name]}) p")
+    parts.append(
+        f"SELECT 'lethality_by_municipio', {municipio}, casos_confirmados, obitos_covid, CAST(taxa_pct AS DOUBLE)"
+        f" FROM ({panels['lethality_by_municipio']}) p"
+    )
+    return " UNION ALL ".join(parts)
+
+
+def _refreshes() -> dict[str, str]:
+    found = {}
+    for suffix, raw_choice, clean_choice in (
+        ("", ((), ()), ((), ())), ("_filtered", (r.RAW_MUNICIPIOS, r.CLASSES), (r.WAREHOUSE_MUNICIPIOS, r.CLASSES))
+    ):
+        found[f"refresh_all_direct{suffix}"] = with_tables(_refreshed(_direct_panels(*raw_choice)), "raw")
+        panels = {name: sql for name, (sql, _) in _dw_panels(*clean_choice).items()}
+        stars = with_tables(_refreshed(panels), *BASE, "dim_tempo", "dim_perfil_paciente", "dim_sintomas", "dim_comorbidade")
+        found[f"refresh_all_dw{suffix}"] = found[f"refresh_stored{suffix}"] = stars
+    return found
+
+
+#: the stored table that each request of the navigation query must be answered from
+ROUTES = {
+    "faixa e sexo": "mart.agg_class_perfil", "classe em municipios": "mart.agg_local_class_como",
+    "regiao em anos": "mart.agg_local_class_mes", "febre dos confirmados": "mart.agg_local_class_sint",
+    "diabetes nos obitos": "mart.agg_local_class_como", "bairro por sexo": "mart.agg_local_class_perfil",
+    "evolucao por mes": "mart.agg_local_class_mes", "febre por sexo": "dw.fato_notificacao_covid",
+}
+
+
+def _navigation() -> str:
+    """Every request answered from the fact."""
+    sums = {
+        "notificacoes": "qtd_notificacao", "confirmados": "flag_confirmado", "obitos": "flag_obito_covid",
+        "internacoes": "flag_internado", "obitos_confirmados": "flag_confirmado * flag_obito_covid",
+    }
+    joined = (
+        "fato JOIN dim_localidade USING (sk_local) JOIN dim_classificacao USING (sk_class) JOIN dim_perfil_paciente USING (sk_perfil)"
+        " JOIN dim_sintomas USING (sk_sint) JOIN dim_comorbidade USING (sk_como) JOIN dim_tempo ON sk_tempo = sk_data_notificacao"
+    )
+    parts = []
+    for name, request in r.REQUESTS.items():
+        key = f"concat_ws('|', {', '.join(f'CAST({a} AS VARCHAR)' for a in request.attributes)})" if request.attributes else "''"
+        where = _where(*(f"{a} IN ({', '.join(repr(v) for v in values)})" for a, values in request.filters.items()))
+        group = f" GROUP BY {', '.join(request.attributes)}" if request.attributes else ""
+        parts += [
+            f"SELECT '{name}' AS pedido, '{ROUTES.get(name, 'mart.mv_resumo_municipio_mes')}' AS rota, {key} AS chave, '{m}' AS medida,"
+            f" CAST(coalesce(sum({sums[m]}), 0) AS BIGINT) AS valor FROM {joined}{where}{group}" for m in request.measures
+        ]
+    dims = ("dim_localidade", "dim_classificacao", "dim_perfil_paciente", "dim_sintomas", "dim_comorbidade", "dim_tempo")
+    return with_tables(" UNION ALL ".join(parts), "fato", *dims)
+
+
 def _quality() -> dict[str, str]:
     dims = {table: CTE_OF[table] for table in schemas.DIMENSION_KEYS}
     tables = tuple(dict.fromkeys([*dims.values(), "fato", "exame"]))
@@ -657,4 +731,4 @@ def _modelling() -> dict[str, str]:
 
 
 def statements() -> dict[str, str]:
-    return {**_profiles(), **_modelling(), **_quality(), **_panels()}
+    return {**_profiles(), **_modelling(), **_quality(), **_panels(), **_refreshes(), "aggregate_navigation": _navigation()}

@@ -10,8 +10,9 @@ from threading import Lock
 from pyspark.sql import DataFrame, SparkSession
 
 from epidw import domain as d
-from epidw.operators import dimensions, facts, mart, quality
+from epidw.operators import aggregates, dimensions, facts, mart, quality
 from epidw.operators.staging import build_staging
+from epidw.plans import shared_refresh
 from epidw.session import cut_lineage, tune
 from epidw.sources.warehouse import Warehouse
 
@@ -66,6 +67,12 @@ def _junk(dimension: d.JunkDimension) -> Callable[[Load], DataFrame]:
     return lambda load: dimensions.build_junk_dimension(load[STAGING], dimension)
 
 
+def _aggregate(aggregate: aggregates.Aggregate) -> Callable[[Load], DataFrame]:
+    finer = next((a for a in aggregates.STORED if a is not aggregate and set(aggregate.grain) < set(a.grain)), aggregates.FACT)
+    # a few thousand rows per dimension member at most; sorted files skip what a key filter leaves out
+    return lambda load: aggregates.build_aggregate(aggregate, load, finer).sortWithinPartitions(*aggregate.grain)
+
+
 def _notification_fact(load: Load) -> DataFrame:
     fact = facts.build_notification_fact(load[STAGING], load)
     # ordered inside each task only: no shuffle, tighter pages and min/max statistics per municipio
@@ -84,6 +91,8 @@ BUILDERS: dict[str, Callable[[Load], DataFrame]] = {
     mart.MART: lambda load: mart.refresh_mart(load[facts.NOTIFICATION], load["dw.dim_localidade"]).orderBy(
         "municipio", "ano_mes"
     ),
+    **{a.table: _aggregate(a) for a in aggregates.STORED},
+    shared_refresh.PANELS: lambda load: shared_refresh.panel_cube(load).coalesce(1),
     "dw.dim_municipio": lambda load: dimensions.build_snowflake_municipio(load["dw.dim_localidade"]),
     "dw.dim_bairro": lambda load: dimensions.build_snowflake_bairro(load["dw.dim_localidade"], load["dw.dim_municipio"]),
 }
@@ -95,7 +104,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str) -> Load:
     load.build(STAGING)
     load.build_together(*DIMENSIONS)
     load.build(facts.NOTIFICATION)
-    load.build_together(facts.EXAM, mart.MART)
+    load.build_together(facts.EXAM, mart.MART, *(a.table for a in aggregates.STORED))
+    load.build(shared_refresh.PANELS)
     load.check()
     load.publish()
     return load

@@ -24,7 +24,7 @@ Values = Sequence[str]
 PUSHED_KEYS = 10_000
 
 
-def _restrict(fact: DataFrame, dimension: DataFrame, key: str, attribute: str, values: Values) -> DataFrame:
+def restrict(fact: DataFrame, dimension: DataFrame, key: str, attribute: str, values: Values) -> DataFrame:
     """Fact rows whose dimension member has one of the values; no values, no restriction.
 
     A bounded set of keys becomes a literal list that reaches the Parquet scan of the
@@ -40,8 +40,8 @@ def _restrict(fact: DataFrame, dimension: DataFrame, key: str, attribute: str, v
 
 
 def notifications(tables: Tables, municipios: Values = (), classes: Values = ()) -> DataFrame:
-    fact = _restrict(tables[NOTIFICATION], tables["dw.dim_localidade"], "sk_local", "municipio", municipios)
-    return _restrict(fact, tables[d.CLASS_DIM.table], "sk_class", "classificacao", classes)
+    fact = restrict(tables[NOTIFICATION], tables["dw.dim_localidade"], "sk_local", "municipio", municipios)
+    return restrict(fact, tables[d.CLASS_DIM.table], "sk_class", "classificacao", classes)
 
 
 def _per_member(fact: DataFrame, dimension: DataFrame, key: str, **measures: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Callable
+from functools import reduce
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,9 +18,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from epidw import domain as d
 from epidw.functions import dates, measures, text
 from epidw.operators import dimensions, facts, mart, profile, quality, scd2
+from epidw.operators.aggregates import Request
 from epidw.operators.lookup import with_salt
 from epidw.operators.staging import build_staging
-from epidw.plans import direct, notebook, star
+from epidw.plans import direct, notebook, shared_refresh, star
+from epidw.plans.navigate import Navigator
 from epidw.plans.pipeline import DIMENSIONS, STAGING, Load
 from epidw.session import shared_folder, tune
 from epidw.sources.fixture import raw_from_test_tables
@@ -31,6 +34,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 WAREHOUSE_MUNICIPIOS = ("VITORIA", "SERRA")
 RAW_MUNICIPIOS = (" Vitoria ", "serra")
 CLASSES = (d.CONFIRMED,)
+#: requests of the navigation query: name -> what is asked
+REQUESTS = {
+    "total": Request((), ("notificacoes", "confirmados")),
+    "municipio": Request(("municipio",), ("notificacoes", "obitos")),
+    "mes": Request(("ano_mes",), ("internacoes",)),
+    "ano e municipio": Request(("ano", "municipio"), ("confirmados", "obitos")),
+    "municipios de um mes": Request(("municipio",), filters={"ano_mes": ("2020-07",)}),
+    "faixa e sexo": Request(("faixa_etaria", "sexo"), ("obitos",)),
+    "classe em municipios": Request(("classificacao",), filters={"municipio": WAREHOUSE_MUNICIPIOS}),
+    "regiao em anos": Request(("regiao_es",), filters={"ano": (2020, 2021)}),
+    "febre dos confirmados": Request(("febre",), filters={"classificacao": CLASSES}),
+    "diabetes nos obitos": Request(("com_diabetes",), ("obitos_confirmados",)),
+    "bairro por sexo": Request(("bairro",), filters={"sexo": ("F",)}),
+    "evolucao por mes": Request(("ano_mes", "evolucao"), ("notificacoes",)),
+    "febre por sexo": Request(("febre", "sexo"), ("notificacoes", "obitos")),
+}
 UPSERT_DAY = dt.date(2023, 6, 1)
 UPSERT_POPULATION = 372_000
 UPSERT_BAIRRO = "CENTRO NOVO"
@@ -161,6 +180,27 @@ def _routed(load: Load) -> DataFrame:
     return routed.unionByName(base)
 
 
+def _navigated(load: Load) -> DataFrame:
+    """Route and answer of every request."""
+    navigator, frames = Navigator(load), []
+    for name, request in REQUESTS.items():
+        route = navigator.choose(request)
+        key = F.concat_ws("|", *(F.col(a).cast("string") for a in request.attributes))
+        answer = navigator.answer(request, route).select(key.alias("chave"), *request.measures)
+        long = answer.unpivot(["chave"], list(request.measures), "medida", "valor")
+        frames.append(long.select(F.lit(name).alias("pedido"), F.lit(route.table).alias("rota"), "chave", "medida", "valor"))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _refresh_queries() -> dict[str, Query]:
+    found: dict[str, Query] = {}
+    for suffix, raw_choice, clean_choice in (("", ((), ()), ((), ())), ("_filtered", (RAW_MUNICIPIOS, CLASSES), (WAREHOUSE_MUNICIPIOS, CLASSES))):
+        found[f"refresh_all_direct{suffix}"] = _on_raw(lambda raw, c=raw_choice: shared_refresh.refresh_all_direct(raw, *c))
+        found[f"refresh_all_dw{suffix}"] = _on_warehouse(lambda w, c=clean_choice: shared_refresh.refresh_all_dw(w, *c))
+        found[f"refresh_stored{suffix}"] = _on_warehouse(lambda w, c=clean_choice: shared_refresh.refresh_stored(w, *c))
+    return found
+
+
 def _filter_in_lists(raw: DataFrame) -> DataFrame:
     chosen = direct.selected(raw, RAW_MUNICIPIOS, CLASSES)
     return chosen.groupBy("Municipio", "Classificacao", "Evolucao").agg(F.count("*").alias("linhas"))
@@ -261,6 +301,8 @@ def queries() -> dict[str, Query]:
         "highest_lethality": _on_raw(notebook.highest_lethality),
         # dashboards
         **_panel_queries(),
+        **_refresh_queries(),
+        "aggregate_navigation": _on_warehouse(_navigated),
         "filter_options": _on_warehouse(star.filter_options),
         "filter_options_direct": _on_raw(direct.filter_options),
         "monthly_series_all": _on_warehouse(star.monthly_series_all),
