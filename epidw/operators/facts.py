@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,9 +41,9 @@ def notification_gaps() -> dict[str, Column]:
 
 
 def build_notification_fact(
-    staging: DataFrame, dimensions: Mapping[str, DataFrame], budget: int | None = None
+    staging: DataFrame, dimensions: Mapping[str, DataFrame], budget: int | None = None, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """One fact row per staged notification.
+    """One fact row per staged notification, and the staged columns in ``carry`` as they are.
 
     The six date keys are computed, not joined. The other keys are left lookups into
     dimensions that are broadcast while they fit the budget, so the load is one
@@ -71,7 +71,7 @@ def build_notification_fact(
         **notification_gaps(),
         "qtd_notificacao": F.lit(1),
     }
-    return rows.select(*declared(NOTIFICATION, columns))
+    return rows.select(*declared(NOTIFICATION, columns), *carry)
 
 
 def has_known_result(default: str = d.UNKNOWN) -> Column:

@@ -209,6 +209,72 @@ MART = (
 )
 
 
+def _within(select: str, **renamed: str) -> str:
+    """A statement over tables that stand for others."""
+    return f"WITH {', '.join(f'{name} AS (SELECT * FROM {other})' for name, other in renamed.items())} {select}"
+
+
+def _second_raw() -> str:
+    changed = ", ".join(f"{r.CHANGED[1]} AS {c}" if c == r.CHANGED[0] else c for c in d.RAW_COLUMNS)
+    added = ", ".join(f"{r.ADDED_VALUES.get(c, c)} AS {c}" for c in d.RAW_COLUMNS)
+    return f"SELECT {changed} FROM raw WHERE NOT coalesce({r.GONE}, false) UNION ALL SELECT {added} FROM raw WHERE {r.ADDED}"
+
+
+def _second_locality() -> str:
+    """The old rows, and the rows of new places as a full load has them, numbered on."""
+    full = _within(f"SELECT * FROM (WITH loc_base AS ({_locality_base()}) {_locality()}) x", stg="stg2")
+    columns = ", ".join(f.name for f in schemas.TABLES["dw.dim_localidade"] if f.name != "sk_local")
+    return (
+        "SELECT * FROM dim_localidade UNION ALL SELECT CAST((SELECT max(sk_local) FROM dim_localidade)"
+        f" + row_number() OVER (ORDER BY municipio, bairro, data_inicio) AS INT), {columns} FROM ({full}) n"
+        " WHERE nk_municipio_bairro NOT IN (SELECT nk_municipio_bairro FROM dim_localidade)"
+    )
+
+
+def _second_junk(j: d.JunkDimension) -> str:
+    listed, table = ", ".join(j.attributes.values()), CTE_OF[j.table]
+    named = ", ".join(f"{c} AS {a}" for c, a in j.staged().items())
+    return (
+        f"SELECT * FROM {table} UNION ALL SELECT CAST((SELECT max({j.key}) FROM {table})"
+        f" + row_number() OVER (ORDER BY {listed}) AS INT), {listed} FROM"
+        f" (SELECT DISTINCT {named} FROM stg2 EXCEPT SELECT {listed} FROM {table}) n"
+    )
+
+
+def _second() -> dict[str, tuple[str, tuple[str, ...]]]:
+    """The tables of the second load."""
+    dims = ("dim_localidade", *(CTE_OF[j.table] for j in d.JUNK_DIMENSIONS))
+    seconds = {name: f"{name}2" for name in dims}
+    return {
+        "raw2": (_second_raw(), ("raw",)),
+        "stg2": (_within(_staging(), raw="raw2"), ("raw2",)),
+        "dim_localidade2": (_second_locality(), ("dim_localidade", "stg2", "regions")),
+        **{f"{CTE_OF[j.table]}2": (_second_junk(j), (CTE_OF[j.table], "stg2")) for j in d.JUNK_DIMENSIONS},
+        "fato2": (_within(_fact(), stg="stg2", **seconds), ("stg2", "dim_tempo", *seconds.values())),
+        "mart2": (_within(MART, fato="fato2", dim_localidade="dim_localidade2"), ("fato2", "dim_localidade2", "dim_tempo")),
+    }
+
+
+def _changes(before: str, after: str, columns: Iterable[str]) -> str:
+    """Rows whose number differs between two bags, with the difference."""
+    listed = ", ".join(columns)
+    return (
+        f"SELECT {listed}, CAST(sum(n) AS BIGINT) AS variacao FROM (SELECT {listed}, -1 AS n FROM {before} UNION ALL"
+        f" SELECT {listed}, 1 FROM {after}) x GROUP BY ALL HAVING sum(n) <> 0"
+    )
+
+
+def _increments() -> dict[str, str]:
+    fact_columns = schemas.TABLES["dw.fato_notificacao_covid"].names
+    return {
+        "staging_delta": with_tables(_changes("raw", "raw2", d.RAW_COLUMNS), "raw", "raw2"),
+        "dim_second_load": with_tables("SELECT * FROM dim_localidade2", "dim_localidade2"),
+        "dim_perfil_second_load": with_tables("SELECT * FROM dim_perfil_paciente2", "dim_perfil_paciente2"),
+        "fact_delta": with_tables(_changes("fato", "fato2", fact_columns), "fato", "fato2"),
+        "mart_incremental": with_tables("SELECT * FROM mart2", "mart2"),
+    }
+
+
 def _chain() -> dict[str, tuple[str, tuple[str, ...]]]:
     """CTE name -> (definition, names it needs)."""
     junk = {CTE_OF[j.table]: (_junk(j), ("stg",)) for j in d.JUNK_DIMENSIONS}
@@ -223,6 +289,7 @@ def _chain() -> dict[str, tuple[str, tuple[str, ...]]]:
         "fato": (_fact(), ("stg", "dim_tempo", "dim_localidade", *junk)),
         "exame": (_exam(), ("stg", "dim_tempo", "dim_localidade", "dim_perfil_paciente", "dim_teste")),
         "mart": (MART, ("fato", "dim_localidade", "dim_tempo")),
+        **_second(),
     }
 
 
@@ -731,4 +798,4 @@ def _modelling() -> dict[str, str]:
 
 
 def statements() -> dict[str, str]:
-    return {**_profiles(), **_modelling(), **_quality(), **_panels(), **_refreshes(), "aggregate_navigation": _navigation()}
+    return {**_profiles(), **_modelling(), **_quality(), **_panels(), **_refreshes(), **_increments(), "aggregate_navigation": _navigation()}

@@ -22,6 +22,7 @@ from epidw.operators.aggregates import Request
 from epidw.operators.lookup import with_salt
 from epidw.operators.staging import build_staging
 from epidw.plans import direct, notebook, shared_refresh, star
+from epidw.plans.incremental import IncrementalLoad
 from epidw.plans.navigate import Navigator
 from epidw.plans.pipeline import DIMENSIONS, STAGING, Load
 from epidw.session import shared_folder, tune
@@ -54,6 +55,13 @@ UPSERT_DAY = dt.date(2023, 6, 1)
 UPSERT_POPULATION = 372_000
 UPSERT_BAIRRO = "CENTRO NOVO"
 
+#: the second snapshot: raw rows that are gone, that change, and that come in addition, in syntax Spark and DuckDB share
+GONE = "DataCadastro LIKE '%-13'"
+CHANGED = ("Evolucao", "CASE WHEN Municipio = 'serra' AND Evolucao = 'Ignorado' THEN 'Cura' ELSE Evolucao END")
+ADDED = "Municipio = ' Vitoria ' AND Bairro = 'BUILDING'"
+ADDED_VALUES = {"Bairro": "'Centro Novo'", "FaixaEtaria": "'5 a 9 anos'"}
+
+_increments: dict[tuple[str, str], IncrementalLoad] = {}
 _loads: dict[tuple[str, str], Load] = {}
 _loading = Lock()
 
@@ -216,6 +224,24 @@ def _both_orphans(load: Load) -> DataFrame:
     return frames[0].unionByName(frames[1])
 
 
+def second_snapshot(raw: DataFrame) -> DataFrame:
+    kept = raw.filter(f"NOT coalesce({GONE}, false)").withColumn(CHANGED[0], F.expr(CHANGED[1]))
+    return kept.unionByName(raw.filter(ADDED).withColumns({c: F.expr(e) for c, e in ADDED_VALUES.items()}))
+
+
+def increment_for(spark: SparkSession, sf_dir: str) -> IncrementalLoad:
+    load = _complete(load_for(spark, sf_dir))
+    with _loading:
+        identity = (spark.sparkContext.applicationId, sf_dir)
+        if identity not in _increments:
+            _increments[identity] = IncrementalLoad(load, second_snapshot(load.raw))
+        return _increments[identity]
+
+
+def _on_increment(query: Callable[[IncrementalLoad], DataFrame]) -> Query:
+    return lambda spark, sf_dir: query(increment_for(spark, sf_dir))
+
+
 def _panel_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for name, panel in direct.PANELS.items():
@@ -275,6 +301,12 @@ def queries() -> dict[str, Query]:
             lambda w: mart.drill_across(w[facts.NOTIFICATION], w[facts.EXAM], w["dw.dim_localidade"])
         ),
         "routed_top_municipios": _on_warehouse(_routed),
+        # a second load from the changes of the raw rows
+        "staging_delta": _on_increment(lambda i: i.delta),
+        "dim_second_load": _on_increment(lambda i: i.dimension("dw.dim_localidade")),
+        "dim_perfil_second_load": _on_increment(lambda i: i.dimension(d.PROFILE_DIM.table)),
+        "fact_delta": _on_increment(lambda i: i.fact_delta),
+        "mart_incremental": _on_increment(lambda i: i.mart),
         # quality
         "dq_unknown_members": _on_warehouse(quality.unknown_members),
         "dq_orphans_local": _on_warehouse(lambda w: _orphans(w, "sk_local", "dw.dim_localidade")),
