@@ -275,6 +275,44 @@ def _increments() -> dict[str, str]:
     }
 
 
+def _histories() -> dict[str, str]:
+    changes = (
+        "SELECT CAST(c_nationkey AS BIGINT) AS nacao, CAST(o_orderdate AS DATE) AS dia, o_orderstatus AS estado, o_orderpriority AS prioridade"
+        " FROM orders JOIN customer ON o_custkey = c_custkey"
+    )
+    timeline = (
+        "SELECT nacao, estado, prioridade, dia AS data_inicio, CAST(lead(dia) OVER w - INTERVAL 1 DAY AS DATE) AS data_fim,"
+        " lead(dia) OVER w IS NULL AS flag_atual FROM (SELECT *, lag(s) OVER (PARTITION BY nacao ORDER BY dia) AS antes FROM ("
+        "SELECT nacao, dia, estado, prioridade, (estado, prioridade) AS s, row_number() OVER (PARTITION BY nacao, dia"
+        f" ORDER BY estado DESC, prioridade DESC) AS n FROM ({changes}) c) d WHERE n = 1) e WHERE antes IS NULL OR antes <> s"
+        " WINDOW w AS (PARTITION BY nacao ORDER BY dia)"
+    )
+    deep = (
+        f"WITH v AS ({timeline}), s AS (SELECT CAST(c_nationkey AS BIGINT) AS nacao,"
+        " CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(CAST(l_shipdate AS DATE) - INTERVAL 90 DAY AS DATE) END AS embarque"
+        " FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"
+        " SELECT s.nacao, embarque, CASE WHEN v.nacao IS NOT NULL THEN concat_ws('|', v.nacao, data_inicio, estado, prioridade) END AS versao,"
+        " count(*) AS linhas FROM s LEFT JOIN v ON s.nacao = v.nacao AND (embarque IS NULL OR embarque >= data_inicio)"
+        " AND (data_fim IS NULL OR embarque <= data_fim) GROUP BY ALL"
+    )
+    given = ", ".join(f"(DATE '{day}', {n})" for day, n in r.LATE_CHANGES)
+    rest = "municipio, bairro, uf, regiao_es, macrorregiao"
+    late = (
+        f"SELECT * FROM dim_localidade WHERE municipio <> 'VITORIA' UNION ALL"
+        f" SELECT coalesce(old_key, CAST((SELECT max(sk_local) FROM dim_localidade) + count(*) FILTER (WHERE old_key IS NULL)"
+        f" OVER (ORDER BY nk, since ROWS UNBOUNDED PRECEDING) AS INT)), {rest}, populacao, since,"
+        " CAST(lead(since) OVER (PARTITION BY nk ORDER BY since) - INTERVAL 1 DAY AS DATE),"
+        " lead(since) OVER (PARTITION BY nk ORDER BY since) IS NULL, nk FROM ("
+        f"SELECT nk_municipio_bairro AS nk, {rest}, coalesce(g.n, populacao_municipio) AS populacao, data_inicio AS since,"
+        " CASE WHEN g.n IS NULL OR g.n = populacao_municipio THEN sk_local END AS old_key FROM dim_localidade l"
+        f" LEFT JOIN (VALUES {given}) g(dia, n) ON g.dia = l.data_inicio WHERE municipio = 'VITORIA' UNION ALL"
+        f" SELECT nk_municipio_bairro, {rest}, g.n, g.dia, NULL FROM (SELECT DISTINCT nk_municipio_bairro, {rest} FROM dim_localidade"
+        f" WHERE municipio = 'VITORIA') p CROSS JOIN (VALUES {given}) g(dia, n) WHERE NOT EXISTS (SELECT 1 FROM dim_localidade o"
+        " WHERE o.nk_municipio_bairro = p.nk_municipio_bairro AND o.data_inicio = g.dia)) u"
+    )
+    return {"scd2_timeline": timeline, "scd2_asof_deep": deep, "scd2_late_changes": with_tables(late, "dim_localidade")}
+
+
 def _chain() -> dict[str, tuple[str, tuple[str, ...]]]:
     """CTE name -> (definition, names it needs)."""
     junk = {CTE_OF[j.table]: (_junk(j), ("stg",)) for j in d.JUNK_DIMENSIONS}
@@ -798,4 +836,4 @@ def _modelling() -> dict[str, str]:
 
 
 def statements() -> dict[str, str]:
-    return {**_profiles(), **_modelling(), **_quality(), **_panels(), **_refreshes(), **_increments(), "aggregate_navigation": _navigation()}
+    return {**_profiles(), **_modelling(), **_quality(), **_panels(), **_refreshes(), **_increments(), **_histories(), "aggregate_navigation": _navigation()}

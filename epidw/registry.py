@@ -52,6 +52,7 @@ REQUESTS = {
     "febre por sexo": Request(("febre", "sexo"), ("notificacoes", "obitos")),
 }
 UPSERT_DAY = dt.date(2023, 6, 1)
+LATE_CHANGES = ((dt.date(2010, 8, 1), 320_000), (dt.date(2022, 1, 1), 375_000), (dt.date(2024, 3, 1), 380_000))
 UPSERT_POPULATION = 372_000
 UPSERT_BAIRRO = "CENTRO NOVO"
 
@@ -158,6 +159,40 @@ def _as_of(load: Load) -> DataFrame:
     return rows.select("Municipio_clean", "Bairro_clean", "DataNotificacao_date", key)
 
 
+def _order_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Changes from the orders: what each nation's busiest order status and priority were, day by day."""
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "lineitem")}
+    placed = tables["orders"].join(tables["customer"], F.col("o_custkey") == F.col("c_custkey"))
+    changes = placed.select(
+        F.col("c_nationkey").cast("long").alias("nacao"), F.col("o_orderdate").cast("date").alias("dia"),
+        F.col("o_orderstatus").alias("estado"), F.col("o_orderpriority").alias("prioridade"))
+    shipped = tables["lineitem"].join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("c_nationkey").cast("long").alias("nacao"),
+        F.when(F.col("l_linenumber") == 7, None).otherwise(F.date_sub(F.col("l_shipdate").cast("date"), 90)).alias("embarque"))
+    return changes, shipped
+
+
+def _timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2.timeline(_order_history(spark, sf_dir)[0], "nacao", "dia")
+
+
+def _deep_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments beside the version of their nation, some thousand versions deep, that held on the day."""
+    changes, shipped = _order_history(spark, sf_dir)
+    versions = scd2.timeline(changes, "nacao", "dia").withColumn("versao", F.concat_ws("|", "nacao", "data_inicio", "estado", "prioridade"))
+    found = scd2.lookup_as_of_merged(with_salt(shipped), versions, {"nacao": "nacao"}, "embarque", "versao")
+    return found.groupBy("nacao", "embarque", "versao").agg(F.count("*").alias("linhas"))
+
+
+def _late_changes(load: Load) -> DataFrame:
+    """Three changes of inhabitants for every bairro of VITORIA: before the stored history, within it, and after it."""
+    locality = load["dw.dim_localidade"]
+    hit = locality.filter("flag_atual AND municipio = 'VITORIA'").select("nk_municipio_bairro")
+    changes = hit.select("nk_municipio_bairro", F.inline(F.array(*(
+        F.struct(F.lit(day).alias("dia"), F.lit(n).alias("populacao_municipio")) for day, n in LATE_CHANGES))))
+    return scd2.apply_timeline(locality, changes, "nk_municipio_bairro", "dia", "sk_local", ["populacao_municipio"])
+
+
 def _locality_region(load: Load) -> DataFrame:
     names = load[STAGING].select(F.col("Municipio_clean").alias("municipio")).distinct()
     return dimensions.with_region(names)
@@ -282,6 +317,9 @@ def queries() -> dict[str, Query]:
         },
         "scd2_current": _on_load(lambda load: scd2.current_versions(load["dw.dim_localidade"])),
         "scd2_upsert": _on_load(_upsert),
+        "scd2_timeline": _timeline,
+        "scd2_asof_deep": _deep_as_of,
+        "scd2_late_changes": _on_load(_late_changes),
         "snowflake_municipio": _on_load(lambda load: dimensions.build_snowflake_municipio(load["dw.dim_localidade"])),
         "snowflake_bairro": _on_load(
             lambda load: dimensions.build_snowflake_bairro(load["dw.dim_localidade"], load["dw.dim_municipio"])
