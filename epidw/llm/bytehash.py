@@ -35,13 +35,19 @@ def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+def merged(*places: np.ndarray) -> np.ndarray:
+    """Ordered places together, each once."""
+    found = np.sort(np.concatenate(places), kind="stable")  # merges stretches that are ordered already
+    return found[np.append(True, found[1:] != found[:-1])] if len(found) else found
+
+
 def run_bounds(keep: np.ndarray, bounds: np.ndarray = np.zeros(0, np.int64)) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each maximal run of true values that no place of ``bounds`` cuts."""
     edges = np.flatnonzero(np.diff(keep.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
     inside = bounds[(bounds > 0) & (bounds < len(keep))]
-    cuts = np.unique(inside[keep[inside - 1] & keep[inside]])
+    cuts = merged(inside[keep[inside - 1] & keep[inside]])
     starts, ends = edges[::2], edges[1::2]
-    return (np.union1d(starts, cuts), np.union1d(ends, cuts)) if len(cuts) else (starts, ends)
+    return (merged(starts, cuts), merged(ends, cuts)) if len(cuts) else (starts, ends)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from epidw.llm.common import written
 from epidw.llm.tokens import encoder
@@ -26,9 +26,6 @@ END_ID = 0
 FAN_IN = 16
 #: sequences with no more room than this are emitted at once
 NEARLY_FULL = 8
-#: underfull sequences that a group hands up; the emptiest go first, the others are emitted as they are.
-#: After a best fit at most one sequence of a group is less than half full, so more could hardly be joined.
-CARRIED = 1024
 PIECES = 50_000  # pieces that a task packs together
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long, bin long, place long, load long"
@@ -58,11 +55,6 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return bins, places, np.array(loads, np.int64)
 
 
-def carried(loads: np.ndarray, capacity: int) -> np.ndarray:
-    """Loads, with those bins counted as full that a group does not hand up: all but the ``CARRIED`` emptiest."""
-    return np.where(np.argsort(np.argsort(loads, kind="stable")) < CARRIED, loads, capacity)
-
-
 def cut(ids: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; all but the first are full, so only the first can be shorter."""
     first = ids % capacity or capacity
@@ -86,7 +78,6 @@ def pack_documents(
     def pack_batch(rows: list[tuple], task: int, chunk: int) -> pa.RecordBatch:
         lengths = np.array([r[3] for r in rows], np.int64)
         bins, places, loads = best_fit(lengths, capacity)
-        loads = carried(loads, capacity)
         ids, piece, start, _, crc = zip(*rows)
         names = ["doc_id", *(c.split()[0] for c in PIECE_SCHEMA.split(", "))]
         numbered = (np.int64(task) << 40) + (np.int64(chunk) << 24) + bins
@@ -100,13 +91,15 @@ def pack_documents(
         from pyspark import TaskContext
 
         task, chunk, rows = TaskContext.get().partitionId(), 0, []
-        encode = encoder(tokenizer).encode
         for batch in batches:
             arrow_type[0] = batch.column("doc_id").type
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
-                for piece, (start, length) in enumerate(cut(len(ids), capacity)):
-                    rows.append((doc_id, piece, start, length, zlib.crc32(ids[start : start + length])))
+            names = batch.column("doc_id").to_pylist()
+            for a, b, found, upto in encoder(tokenizer).encode_slices(batch.column("text")):
+                ids = np.insert(found.astype("<u4"), upto[1:], end_id)
+                ends = upto[1:] + np.arange(1, b - a + 1)
+                for doc_id, first, last in zip(names[a:b], (ends - np.diff(upto) - 1).tolist(), ends.tolist()):
+                    for piece, (start, length) in enumerate(cut(last - first, capacity)):
+                        rows.append((doc_id, piece, start, length, zlib.crc32(ids[first + start : first + start + length])))
             while len(rows) >= PIECES:
                 yield pack_batch(rows[:PIECES], task, chunk)
                 rows, chunk = rows[PIECES:], chunk + 1
@@ -128,11 +121,18 @@ def merge_underfull(bins: DataFrame, capacity: int, fan_in: int) -> DataFrame:
     underfull = bins.filter(room_left).distinct()
     moves = written(underfull.select("bin", F.col("bin").alias("to"), F.lit(0).cast("long").alias("shift"), "load"), "level")
     tasks = (moves.agg(F.max(F.shiftright("bin", 40))).first()[0] or 0) + 1
-    width = fan_in
+    width, most = fan_in, None
     while True:
         group = F.floor(F.shiftright("bin", 40) / width).alias("group")
         items = moves.filter(room_left).groupBy("to", "load").agg(F.min("bin").alias("bin")).select(group, "to", "load")
-        step = items.groupBy("group").applyInPandas(_repack(capacity), "bin long, next long, by long, total long")
+        if most is None:
+            halves = items.filter(F.col("load") * 2 <= capacity).groupBy("group").count()
+            most = max(halves.agg(F.max("count")).first()[0] or 0, 1)
+        # two bins that are more than half full never go together, and a bin takes as well as another of the same load: so
+        # of each load no more bins can be used than there are bins up to half full
+        alike = F.row_number().over(Window.partitionBy("group", "load").orderBy("to"))
+        usable = items.withColumn("place", alike).filter((F.col("place") <= most) | (F.col("load") * 2 <= capacity)).drop("place")
+        step = usable.groupBy("group").applyInPandas(_repack(capacity), "bin long, next long, by long, total long")
         after = moves.join(step, moves["to"] == step["bin"], "left").select(
             moves["bin"], F.coalesce("next", "to").alias("to"),
             (F.col("shift") + F.coalesce("by", F.lit(0))).alias("shift"), F.coalesce("total", "load").alias("load"),
@@ -140,7 +140,7 @@ def merge_underfull(bins: DataFrame, capacity: int, fan_in: int) -> DataFrame:
         moves = written(after, "level")
         if width >= tasks:
             return moves.select("bin", "to", "shift")
-        width *= fan_in
+        width, most = width * fan_in, fan_in  # a group that has been packed has one bin up to half full at most
 
 
 def _repack(capacity: int):
@@ -153,6 +153,6 @@ def _repack(capacity: int):
         bins, places, loads = best_fit(sizes, capacity)
         named = np.zeros(len(loads), np.int64)
         named[bins[::-1]] = ids[::-1]  # a bin keeps the name of one of its items
-        return pd.DataFrame({"bin": ids, "next": named[bins], "by": places, "total": carried(loads, capacity)[bins]})
+        return pd.DataFrame({"bin": ids, "next": named[bins], "by": places, "total": loads[bins]})
 
     return repack
