@@ -115,7 +115,6 @@ def write_token_files(
 
         part, number, first = TaskContext.get().partitionId(), 0, 0
         doc_ids, held, size, kind = [], [], 0, pa.int64()
-        encode = encoder(tokenizer).encode
 
         def segment() -> pa.RecordBatch:
             code = encode_codes(np.concatenate(held))
@@ -128,14 +127,17 @@ def write_token_files(
 
         for batch in batches:
             kind = batch.column("doc_id").type
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.append(encode(text.as_py()), np.uint32(end_id))
-                if held and size + len(ids) > SEGMENT_IDS:
-                    yield segment()
-                    number, first, doc_ids, held, size = number + 1, first + size, [], [], 0
-                doc_ids.append(doc_id)
-                held.append(ids)
-                size += len(ids)
+            names = batch.column("doc_id").to_pylist()
+            for a, b, found, upto in encoder(tokenizer).encode_slices(batch.column("text")):
+                whole = np.insert(found, upto[1:], np.uint32(end_id))
+                ends = upto[1:] + np.arange(1, b - a + 1)
+                for doc_id, ids in zip(names[a:b], np.split(whole, ends[:-1])):
+                    if held and size + len(ids) > SEGMENT_IDS:
+                        yield segment()
+                        number, first, doc_ids, held, size = number + 1, first + size, [], [], 0
+                    doc_ids.append(doc_id)
+                    held.append(ids)
+                    size += len(ids)
         if held:
             yield segment()
 
