@@ -8,12 +8,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from epidw.llm.bytehash import SPACE
 from epidw.session import shared_folder
 
 #: rows of one Arrow batch are worked on in slices of about this many bytes, which bounds a task's memory
 SLICE_BYTES = 1 << 20
+#: bytes of labelled texts that a classifier is fitted on, at most
+SAMPLE_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,16 +45,28 @@ def bounded_sample(labelled: DataFrame, rows: int) -> DataFrame:
     return labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
+def sampled_texts(docs: DataFrame, chosen: DataFrame, value: str, rows: int, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, object]]:
+    """(text, value) of documents of a bounded sample (``doc_id`` and ``value``), in doc_id order.
+
+    ``rows`` and ``most_bytes`` bound what the driver receives: documents are taken in the order of the sample until their
+    texts make up ``most_bytes``; one that does not fit any more is passed over, and so are all behind it.
+    """
+    sized = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("__bytes"))
+    sized = sized.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.sum("__bytes").alias("__bytes"))
+    so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # at most ``rows`` numbers
+    fitting = sized.withColumn("__upto", F.sum("__bytes").over(so_far)).filter(F.col("__upto") <= most_bytes).select("doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen.join(fitting, "doc_id")), "doc_id")
+    return [(r["text"] or "", r[value]) for r in found.orderBy("doc_id", "text").limit(rows).collect()]
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> list[tuple[str, int]]:
     """(text, label) of a bounded sample of labelled documents, in doc_id order.
 
     A document labelled twice counts once, with the larger label; null labels and labels without
-    a document teach nothing. ``rows`` bounds what the driver receives.
+    a document teach nothing.
     """
-    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("__label"))
-    chosen = bounded_sample(known, rows)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return [(r["text"] or "", int(r["__label"])) for r in found.orderBy("doc_id", "text").limit(rows).collect()]
+    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("__label"))
+    return sampled_texts(docs, bounded_sample(known, rows), "__label", rows)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,24 +92,55 @@ def slices(starts: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, i
         row = min(end, rows)
 
 
+Measure = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def block_end(data: np.ndarray, low: int, most: int) -> int:
+    """End of a block of about ``most`` bytes from ``low`` on, behind white space; a longer word stays whole."""
+    if low + most >= len(data):
+        return len(data)
+    blanks = np.flatnonzero(SPACE[data[low : low + most]])
+    if len(blanks):
+        return low + int(blanks[-1]) + 1
+    at = low + most
+    while at < len(data):
+        blanks = np.flatnonzero(SPACE[data[at : at + most]])
+        if len(blanks):
+            return at + int(blanks[0]) + 1
+        at += most
+    return len(data)
+
+
+def reach(data: np.ndarray, at: int, step: int, enough: Callable[[np.ndarray], bool]) -> int:
+    """How far from ``at``, backward or forward, ``enough`` is found; the text's edge if it is not."""
+    size = 256
+    while True:
+        a, b = (max(0, at - size), at) if step < 0 else (at, min(len(data), at + size))
+        if (a == 0 if step < 0 else b == len(data)) or enough(data[a:b]):
+            return a if step < 0 else b
+        size *= 2
 
 
-def row_sums(column: pa.Array, measure: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], width: int) -> np.ndarray:
-    """Sums that ``measure(bytes, starts, ends)`` gives for the texts of a column, slice by slice.
+def row_sums(column: pa.Array, measure: Measure, width: int, enough: Callable[[np.ndarray], bool] | None = None) -> np.ndarray:
+    """Whole-number sums that ``measure(bytes, starts, ends, bounds)`` gives for the texts of a column, slice by slice.
 
-    A text longer than a slice is measured in blocks that end at a blank where there is one, and its sums are added.
+    A text longer than a slice is measured in blocks that end at white space, and its sums are added. ``bounds`` are the
+    ends of what may be looked at: beside a block lie so many bytes of the text as ``enough`` asks for, which are not
+    counted. So the sums do not depend on the size of the slices.
     """
     data, starts = utf8(column)
-    out = np.zeros((len(starts) - 1, width))
+    out = np.zeros((len(starts) - 1, width), np.int64)
     for a, b in slices(starts, SLICE_BYTES):
         low, high = int(starts[a]), int(starts[b])
         if high - low <= SLICE_BYTES:
-            out[a:b] = measure(data[low:high], starts[a:b] - low, starts[a + 1 : b + 1] - low)
+            ends = starts[a + 1 : b + 1] - low
+            out[a:b] = measure(data[low:high], starts[a:b] - low, ends, ends)
             continue
-        while low < high:
-            end = min(low + SLICE_BYTES, high)
-            blanks = np.flatnonzero(data[end - 4096 : end] == 0x20) if end < high else ()
-            end = end - 4096 + int(blanks[-1]) + 1 if len(blanks) else end
-            out[a] += measure(data[low:end], np.zeros(1, np.int64), np.array([end - low]))[0]
-            low = end
+        text, at = data[low:high], 0
+        while at < len(text):
+            end = block_end(text, at, SLICE_BYTES)
+            left = reach(text, at, -1, enough) if enough else at
+            right = reach(text, end, 1, enough) if enough else end
+            out[a] += measure(text[left:right], np.array([at - left]), np.array([end - left]), np.array([right - left]))[0]
+            at = end
     return out

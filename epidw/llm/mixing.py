@@ -3,8 +3,8 @@
 A classifier learned from a table of labelled documents gives each document a posterior over domains. Its expected
 tokens of a domain are its tokens times that posterior. Document rates, none below ``least``, are then fitted so that
 the expected tokens of every domain, summed over rate times tokens, meet the targets: least squares by projected
-gradient. A step needs one sum per domain over all documents, which Spark adds up; a document's rate follows from the
-few gradients so far, so no rate is stored between steps and the driver holds one number per domain and step.
+gradient. A step needs one sum per domain over all documents, which Spark adds up; a document's rate follows from its
+last written rate and the few gradients since, so the driver holds one number per domain and step.
 """
 
 from __future__ import annotations
@@ -15,11 +15,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from epidw.llm.bytehash import SPACE, run_bounds
-from epidw.llm.common import bounded_sample, row_sums, written
+from epidw.llm.common import bounded_sample, sampled_texts, written
 from epidw.llm.subwords import SAMPLE, SubwordModel
+from epidw.llm.tokens import encoder
 
-STEPS = 60
+STEPS = 200  # the result says whether the fit has converged by then
+REPLAYED = 8  # gradient steps after which the rates are written, so that a step replays fewer than these
 TOLERANCE = 1e-4  # largest miss of a target, as a share of all tokens
 TEMPERATURE = 0.7  # exponent on a domain's share where no weights are given
 
@@ -30,24 +31,19 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, rows: int = SAMPLE) -> Sub
     A document with several labels counts with the first in order; null ids and domains teach nothing.
     """
     known = labelled.filter("doc_id IS NOT NULL AND domain IS NOT NULL").groupBy("doc_id").agg(F.min("domain").alias("__domain"))
-    found = docs.select("doc_id", "text").join(F.broadcast(bounded_sample(known, rows)), "doc_id").orderBy("doc_id", "text").limit(rows)
-    return SubwordModel.fit([(r["text"] or "", r["__domain"]) for r in found.collect()])
+    return SubwordModel.fit(sampled_texts(docs, bounded_sample(known, rows), "__domain", rows))
 
 
-def with_membership(docs: DataFrame, model: SubwordModel) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``tokens`` (words) and ``posterior`` (a share for each domain of the model)."""
+def with_membership(docs: DataFrame, model: SubwordModel, tokenizer: str) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``tokens`` (ids and an end id) and ``posterior`` (a share for each domain of the model)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "text_hash", "tokens", "posterior"]
 
-    def words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        begin = run_bounds(~SPACE[data], ends)[0]
-        return (np.searchsorted(begin, ends) - np.searchsorted(begin, starts))[:, None]
-
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             known = model.probabilities(texts)
-            tokens = row_sums(texts, words, 1)[:, 0].astype(np.int64)
+            tokens = np.concatenate([np.zeros(0, np.int64), *(np.diff(upto) + 1 for *_, upto in encoder(tokenizer).encode_slices(texts))])
             posterior = pa.FixedSizeListArray.from_arrays(pa.array(known.ravel()), known.shape[1]).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(tokens), posterior], names)
 
@@ -63,14 +59,14 @@ def domain_tokens(members: DataFrame, domains: int, rate: Column | None = None)
 
 
 def rate_after(slopes: list[np.ndarray], least: float) -> Column:
-    """Rate of a document after the given gradient steps from rate 1, kept at ``least`` or more after each."""
+    """``rate`` of a document after further gradient steps, kept at ``least`` or more after each."""
     if not slopes:
-        return F.lit(1.0)
+        return F.col("rate")
     steps = F.array(*(F.array(*(F.lit(float(x)) for x in s)) for s in slopes))
     along = lambda step: F.aggregate(
         F.zip_with("posterior", step, lambda p, g: p * g), F.lit(0.0), lambda total, x: total + x
     )
-    return F.aggregate(steps, F.lit(1.0), lambda rate, step: F.greatest(F.lit(float(least)), rate - along(step)))
+    return F.aggregate(steps, F.col("rate"), lambda rate, step: F.greatest(F.lit(float(least)), rate - along(step)))
 
 
 def tempered_targets(available: np.ndarray, temperature: float = TEMPERATURE) -> np.ndarray:
@@ -82,7 +78,8 @@ def tempered_targets(available: np.ndarray, temperature: float = TEMPERATURE) ->
 
 
 def mixing_rates(
-    docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float] | None = None, total: float | None = None, least: float = 0.0
+    docs: DataFrame, labelled: DataFrame, tokenizer: str, weights: Mapping[str, float] | None = None, total: float | None = None,
+    least: float = 0.0, steps: int = STEPS,
 ) -> DataFrame:
     """Rates that bring the expected tokens of each domain to its target.
 
@@ -90,12 +87,14 @@ def mixing_rates(
     weights the targets are tempered shares that raise scarce domains and lower none. Returns a row for each document:
     ``doc_id``, ``text_hash``, ``tokens``, ``posterior``, ``domain`` (most likely one), ``rate``, ``copies`` (the rate
     rounded up or down by a hash of ``doc_id``, so that copies add up to rates) and ``target`` and ``reached``, arrays
-    over the domains in alphabetical order. A null or empty text has no tokens and keeps its rate by its posterior. A
+    over the domains in alphabetical order. ``miss`` is the largest miss of a target as a share of all tokens, and
+    ``converged`` tells whether it is within :data:`TOLERANCE`; after ``steps`` gradient steps the fit ends in any case.
+    Tokens are ids of ``tokenizer`` and an end id, so a null or empty text has one token. A
     target that no document can serve, or without labelled rows every target, is missed by what is lacking. Repeated
     rows have the same rate; further columns are ignored.
     """
     model = fit_domains(docs, labelled)
-    members = written(with_membership(docs, model), "members")
+    members = written(with_membership(docs, model, tokenizer).withColumn("rate", F.lit(1.0)), "members")
     count = len(model.classes)
     available = domain_tokens(members, count)
     if weights is None:
@@ -107,12 +106,16 @@ def mixing_rates(
     scale = max(available.sum(), 1.0)
     slopes: list[np.ndarray] = []
     reached, step = available, np.array([1 / max(a, scale * 1e-6) for a in available])
-    for _ in range(STEPS):
+    for _ in range(steps):
         miss = reached - targets
         if np.abs(miss).max(initial=0) <= TOLERANCE * scale:
             break
         slopes.append(miss * step)
+        if len(slopes) == REPLAYED:
+            members = written(members.withColumn("rate", rate_after(slopes, least)), "members")
+            slopes = []
         reached = domain_tokens(members, count, rate_after(slopes, least))
+    missed = float(np.abs(reached - targets).max(initial=0) / scale)
     fitted = members.withColumn("rate", rate_after(slopes, least))
     drawn = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 30)) / float(1 << 30)
     likeliest = F.array_position("posterior", F.array_max("posterior")).cast("int")
@@ -121,12 +124,13 @@ def mixing_rates(
         F.element_at(F.array(*(F.lit(c).cast("string") for c in model.classes)), likeliest).alias("domain"),
         "rate", F.floor(F.col("rate") + drawn).cast("int").alias("copies"),
         F.array(*(F.lit(float(t)) for t in targets)).alias("target"), F.array(*(F.lit(float(t)) for t in reached)).alias("reached"),
+        F.lit(missed).alias("miss"), F.lit(missed <= TOLERANCE).alias("converged"),
     )
 
 
-def mix(docs: DataFrame, labelled: DataFrame, least: float = 1.0) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, tokenizer: str, least: float = 1.0) -> DataFrame:
     """``docs`` with each row as often as its fitted rate says; by default no row goes and scarce domains repeat."""
-    rates = mixing_rates(docs, labelled, least=least).select(
+    rates = mixing_rates(docs, labelled, tokenizer, least=least).select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("copies").alias("__copies")
     ).distinct()
     found = docs.withColumn("__text", F.xxhash64("text")).join(

@@ -72,7 +72,8 @@ def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return mixing.mixing_rates(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), weights=MIX)
+    domains = labelled_domains(docs, table(spark, sf_dir, "labels"))
+    return mixing.mixing_rates(docs, domains, public_tokenizers.path("byte_bpe_50k.json"), weights=MIX)
 
 
 def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

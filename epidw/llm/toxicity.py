@@ -87,11 +87,13 @@ class ToxicityModel:
         """Learn from (text, label); three of four rows grow the trees, the others calibrate. Without rows scores are 0."""
         texts = pa.array([t for t, _ in rows], pa.string())
         labels = np.array([y for _, y in rows], float)
-        model = ToxicityModel(_lexicons(rows), np.zeros((0, 0)), [], -20.0, (np.zeros(1), np.zeros(1)))
-        if len(rows) < 8:
+        held = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) % 4 == 0 for t, _ in rows], bool)
+        # the calibrating rows choose no words, or their own labels would be in the features that calibrate
+        growing = [row for row, h in zip(rows, held) if not h]
+        model = ToxicityModel(_lexicons(growing), np.zeros((0, 0)), [], -20.0, (np.zeros(1), np.zeros(1)))
+        if len(rows) < 8 or not growing:
             return model
         known = model.features(texts)
-        held = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) % 4 == 0 for t, _ in rows])
         model._grow(known[~held], labels[~held])
         raw = model._raw(known)
         chosen = held if held.sum() >= 200 else np.ones(len(rows), bool)
@@ -100,16 +102,16 @@ class ToxicityModel:
 
     def features(self, texts: pa.Array) -> np.ndarray:
         """Dense features, a row for each text."""
-        s = row_sums(texts, self._measure, 9 + len(self.lexicons))
+        s = row_sums(texts, self._measure, 9 + len(self.lexicons), enough=lambda part: len(run_bounds(WORD[part])[0]) > NEAR)
         words, letters = np.maximum(s[:, 0], 1), np.maximum(s[:, 1], 1)
         lexical = s[:, 9:]
         return np.column_stack([
             lexical / words[:, None], np.minimum(lexical, 5), s[:, 2] / words, s[:, 3] / letters, s[:, 4] / words,
             s[:, 5] / words, s[:, 6] / words, s[:, 7] / words, s[:, 8] / words, np.log1p(s[:, 0])])
 
-    def _measure(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(starts), 9 + len(self.lexicons)))
-        begin, stop, forms = word_forms(data, ends)
+    def _measure(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(starts), 9 + len(self.lexicons)), np.int64)
+        begin, stop, forms = word_forms(data, bounds)
         low, high = np.searchsorted(begin, starts), np.searchsorted(begin, ends)
 
         def by_text(values: np.ndarray, first: np.ndarray = low, last: np.ndarray = high) -> np.ndarray:
@@ -119,7 +121,7 @@ class ToxicityModel:
         hits = [contained(f, lexicon) for f, lexicon in zip(forms, self.lexicons)]
         pronoun = contained(forms[0], PRONOUNS)
         any_hit = np.logical_or.reduce(hits) if hits else np.zeros(len(begin), bool)
-        near, owner = np.zeros(len(begin), bool), np.searchsorted(ends, begin, side="right")
+        near, owner = np.zeros(len(begin), bool), np.searchsorted(bounds, begin, side="right")
         for gap in range(1, NEAR + 1):
             same = owner[gap:] == owner[:-gap]
             near[gap:] |= any_hit[gap:] & pronoun[:-gap] & same
