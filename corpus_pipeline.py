@@ -15,6 +15,8 @@ from epidw.llm import exact, jaccard, mixing, packing, quality  # noqa: E402
 from epidw.llm.common import table, written  # noqa: E402
 from epidw.llm.queries import labelled_domains  # noqa: E402
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -34,12 +36,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, those of scarce languages more often, towards tempered shares."""
-    return mixing.mix(docs, labelled_domains(docs, table(spark, sf_dir, "labels")))
+    return mixing.mix(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), TOKENIZER)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2,048 token ids."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, TOKENIZER)
 
 
 STAGES = [
