@@ -57,7 +57,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     size = 1 << max(20, int(len(data)).bit_length())
     up, down = _powers(size)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
+    values = np.take(BYTE_VALUES, data, out=sums[1:], mode="clip")
+    values *= up[: len(data)]
+    np.cumsum(values, out=values)
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 

@@ -9,7 +9,7 @@ share a 64-bit hash with a probability of n * n / 2**65.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,8 +22,10 @@ from epidw.llm.common import slices, utf8
 KEPT_PARTS = 1_500_000
 #: parts encoded in one text
 TOGETHER = 64
-#: bytes of text encoded at once
-ENCODED_BYTES = 4 << 20
+#: such texts given to the library at once, whose answers take some hundred bytes for each id
+ASKED = 64
+#: bytes of text worked on at once
+ENCODED_BYTES = 1 << 20
 #: longer parts, in bytes, are not kept, so that the memory stays bounded in bytes too
 KEPT_LENGTH = 64
 
@@ -71,6 +73,13 @@ class Encoder:
         self._separator_id = self._tokenizer.encode(self._mark, add_special_tokens=False).ids[0]
         self._forget()
 
+    def _asked(self, items: list, text: Callable) -> Iterator[tuple[object, np.ndarray]]:
+        """Each item and the ids of its text, as the library gives them, for a bounded number of texts at a time."""
+        for at in range(0, len(items), ASKED):
+            some = items[at : at + ASKED]
+            for item, encoded in zip(some, self._tokenizer.encode_batch_fast([text(i) for i in some], add_special_tokens=False)):
+                yield item, np.array(encoded.ids, np.uint32)
+
     def _plain(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of parts, each encoded for itself, and the number of ids of each.
 
@@ -78,17 +87,15 @@ class Encoder:
         separator or end in white space go alone.
         """
         joined = [i for i, p in enumerate(parts) if self._mark not in p and not p[-1].isspace()]
-        texts = [self._separator.join(parts[i] for i in joined[at : at + TOGETHER]) for at in range(0, len(joined), TOGETHER)]
         found: list[np.ndarray | None] = [None] * len(parts)
-        for at, encoded in zip(range(0, len(joined), TOGETHER), self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids, some = np.array(encoded.ids, np.uint32), joined[at : at + TOGETHER]
+        groups = [joined[at : at + TOGETHER] for at in range(0, len(joined), TOGETHER)]
+        for some, ids in self._asked(groups, lambda group: self._separator.join(parts[i] for i in group)):
             ends = np.flatnonzero(ids == self._separator_id)
             if len(ends) == len(some) - 1:
                 for i, a, b in zip(some, [0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)]):
                     found[i] = ids[a:b]
-        alone = [i for i, ids in enumerate(found) if ids is None]
-        for i, encoded in zip(alone, self._tokenizer.encode_batch_fast([parts[i] for i in alone], add_special_tokens=False)):
-            found[i] = np.array(encoded.ids, np.uint32)
+        for i, ids in self._asked([i for i, ids in enumerate(found) if ids is None], lambda i: parts[i]):
+            found[i] = ids
         return np.concatenate(found), np.array([len(ids) for ids in found], np.int64)
 
     def _forget(self) -> None:
