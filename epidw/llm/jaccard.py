@@ -15,7 +15,8 @@ as soon as the overlap so far and the lengths that remain can't reach the thresh
 
 *Sketches.* A set's sketch holds, for each of 512 places, whether an odd number of its shingles falls there. Two sets
 differ in at least as many shingles as their sketches in places, so a pair whose sketches differ too much can't link and
-its texts are not read. Sets of some thousand shingles fill their sketches; for them this rules out little, never a link.
+its texts are not read. Sets of more than 512 shingles fill these places, so they have a second sketch with about a place
+for each shingle; it is looked at once for each pair, and neither sketch ever rules out a link.
 
 *Rounds.* The members of a signature are compared with one of them, not all with all: each set first with that one of
 these it shares most signatures with, then with those outside its component. Found links make components. Only members
@@ -46,6 +47,8 @@ CLASS_FACTOR = 1.6
 REMEMBERED = 200_000
 #: 64-bit words of a sketch
 SKETCH_WORDS = 8
+#: sets of more shingles have a second sketch that grows with them
+WIDE_FROM = 64 * SKETCH_WORDS
 #: up to so many members of a signature are paired at once, which keeps the pairs looked at in proportion to the members
 FEW_MEMBERS = 64
 #: sets compared with one query set at a time; also the number of compared pairs dealt to one task's turn
@@ -91,6 +94,30 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((fallen & 1).astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(shingles: np.ndarray) -> np.ndarray | None:
+    """A sketch of so many words, a power of two, that there is a place for each shingle; none for small sets."""
+    if len(shingles) <= WIDE_FROM:
+        return None
+    places = 64 << ((len(shingles) - 1) // 64).bit_length()
+    fallen = np.bincount((shingles & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((fallen & 1).astype(np.uint8)).view(np.int64)
+
+
+def wide_can_link(a: str, b: str, percent: int) -> str:
+    """Condition on ``n_shingles`` and ``wide`` of two sets whose sizes allow a link; true where one has no wide sketch.
+
+    Such sizes differ by a factor below 2, so the longer sketch has as many words as the other or twice as many. Then its
+    halves are laid over each other, which gives the sketch of the shorter length.
+    """
+    one, other = f"{a}wide", f"{b}wide"
+    folded = " ^ ".join(f"IF(size({x}) > size({y}), get({x}, i + size({y})), 0L)" for x, y in ((one, other), (other, one)))
+    apart = f"aggregate(sequence(0, least(size({one}), size({other})) - 1), 0L, (s, i) -> s + bit_count(get({one}, i) ^ get({other}, i) ^ {folded}))"
+    return (
+        f"{one} IS NULL OR {other} IS NULL"
+        f" OR {apart} * {100 + percent} <= ({a}n_shingles + {b}n_shingles) * {100 - percent}"
+    )
+
+
 def can_link(a: str, b: str, percent: int) -> str:
     """Condition on ``n_shingles`` and ``bits`` of two sets, behind the given prefixes, that every pair that links meets."""
     sizes = f"{a}n_shingles, {b}n_shingles"
@@ -202,9 +229,10 @@ def near_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
         raise ValueError("percent must be from 63 to 100")
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     described = written(_describe(rows, size, percent), "described")
-    nodes = described.filter("sig IS NULL").drop("sig")
+    nodes = described.filter("sig IS NULL").drop("sig", "wide")
+    wides = described.filter("wide IS NOT NULL").select("node", "n_shingles", "wide").dropDuplicates(["node"])
     meetings = written(_meetings(described.filter("sig IS NOT NULL").select("sig", "node")), "meetings")
-    components = _components(rows, nodes, meetings, size, percent)
+    components = _components(rows, nodes, meetings, written(wides, "wides"), size, percent)
     named = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.filter("node IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     inner = ["node", "component", "text_hash"]
@@ -216,25 +244,26 @@ def near_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
 def _describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """A row for each document, without ``sig``, and rows of ``sig`` and ``node`` for the signatures of each node."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "text_hash", "n_shingles", "node", "bits", "sig"]
+    names = ["doc_id", "text_hash", "n_shingles", "node", "bits", "wide", "sig"]
     words = pa.list_(pa.int64())
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: OrderedDict[int, None] = OrderedDict()
         for batch in batches:
-            kind, sizes, known, bits, held, count = batch.column("doc_id").type, [], [], [], [], 0
+            kind, sizes, known, bits, wide, held, count = batch.column("doc_id").type, [], [], [], [], [], 0
 
             def signed() -> pa.RecordBatch:
                 sigs = np.concatenate([found for found, _ in held]).view(np.int64)
                 of = np.repeat(np.array([node for _, node in held], np.int64), [len(found) for found, _ in held])
                 none = pa.nulls(len(sigs), pa.int64())
-                return pa.RecordBatch.from_arrays([none.cast(kind), none, none, pa.array(of), pa.nulls(len(sigs), words), pa.array(sigs)], names)  # noqa: B023
+                return pa.RecordBatch.from_arrays([none.cast(kind), none, none, pa.array(of), *[pa.nulls(len(sigs), words)] * 2, pa.array(sigs)], names)  # noqa: B023
 
             for shingles in shingle_sets(batch.column("text"), size):
                 node = node_of(shingles) if len(shingles) else None
                 sizes.append(len(shingles))
                 known.append(node)
                 bits.append(sketch(shingles))
+                wide.append(wide_sketch(shingles) if node not in sent else None)  # as the signatures, once for copies in a task
                 if node is not None and node not in sent:
                     sent[node] = None
                     if len(sent) > REMEMBERED:
@@ -248,9 +277,9 @@ def _describe(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 yield signed()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(bits, words), pa.nulls(len(sizes), pa.int64())], names)
+                 pa.array(bits, words), pa.array(wide, words), pa.nulls(len(sizes), pa.int64())], names)
 
-    return docs.mapInArrow(describe, f"doc_id {id_type}, text_hash long, n_shingles long, node long, bits array<long>, sig long")
+    return docs.mapInArrow(describe, f"doc_id {id_type}, text_hash long, n_shingles long, node long, bits array<long>, wide array<long>, sig long")
 
 
 def _meetings(signed: DataFrame) -> DataFrame:
@@ -262,19 +291,19 @@ def _meetings(signed: DataFrame) -> DataFrame:
     return met.filter("before IS NOT NULL AND node <> before").select("sig", "node", "center")
 
 
-def _components(docs: DataFrame, nodes: DataFrame, meetings: DataFrame, size: int, percent: int) -> DataFrame:
+def _components(docs: DataFrame, nodes: DataFrame, meetings: DataFrame, wides: DataFrame, size: int, percent: int) -> DataFrame:
     """``node`` and ``component`` of all nodes that link."""
     members = meetings.select("sig", "node").unionByName(meetings.select("sig", F.col("center").alias("node")).distinct())
     sets = written(nodes.filter("node IS NOT NULL").select("node", "n_shingles", "bits").dropDuplicates(["node"]), "sets")
     met = meetings.groupBy(F.col("center").alias("one"), F.col("node").alias("other")).agg(F.count("*").alias("times"))
-    met = written(_possible(met, sets, percent), "met")
+    met = written(_wide_possible(_possible(met, sets, percent), wides, percent), "met")
     nearest = met.groupBy("other").agg(F.max(F.struct("times", "one")).alias("nearest")).select("nearest.one", "other")
     tested = written(_compare(docs, nodes, nearest, size, percent), "compared")
     components = _connect(tested.filter("links").select("one", "other"))
 
     def compared(pairs: DataFrame) -> None:
         nonlocal tested, components
-        fresh = pairs.join(tested.select("one", "other"), ["one", "other"], "left_anti")
+        fresh = _wide_possible(pairs.join(tested.select("one", "other"), ["one", "other"], "left_anti"), wides, percent)
         answers = written(_compare(docs, nodes, fresh, size, percent), "compared")
         tested = tested.unionByName(answers)
         if not answers.filter("links").isEmpty():
@@ -300,6 +329,12 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return known.join(sets.alias("r"), F.expr(f"p.other = r.node AND {can_link('l.', 'r.', percent)}")).select("p.*")
 
 
+def _wide_possible(pairs: DataFrame, wides: DataFrame, percent: int) -> DataFrame:
+    """The pairs, whose sizes allow a link, that the sketches of large sets allow one too."""
+    known = pairs.alias("p").join(wides.alias("l"), F.expr("p.one = l.node"), "left").join(wides.alias("r"), F.expr("p.other = r.node"), "left")
+    return known.filter(wide_can_link("l.", "r.", percent)).select("p.*")
+
+
 def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
     """The pairs whose nodes are not in one component."""
     one = components.select(F.col("node").alias("one"), F.col("component").alias("one_in"))

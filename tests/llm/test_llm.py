@@ -215,7 +215,7 @@ def test_near_classes_equal_brute_force(spark, monkeypatch, size, percent, few):
     monkeypatch.setattr(jaccard, "FEW_MEMBERS", few)
     random.seed(percent)
     rows = []
-    for base in (4, 12, 30, 70, 90, 150, 400):
+    for base in (4, 12, 30, 70, 90, 150, 400, 560, 1060):
         words = [f"w{random.randrange(4000)}" for _ in range(base)]
         for _ in range(14):
             copy = list(words)
@@ -257,6 +257,31 @@ def test_sketches_rule_out_no_link(spark):
     assert (True, False) not in passed and (True, True) in passed and (False, False) in passed
 
 
+def test_wide_sketches_rule_out_no_link(spark):
+    random.seed(5)
+    rows = []
+    for size in (512, 520, 1020, 1030, 3000, 4100):
+        one = random.sample(range(1 << 40), size)
+        for _ in range(24):
+            changed = random.randrange(0, 1 + size // 4)
+            other = one[changed // 2 :] + random.sample(range(1 << 41, 1 << 42), random.choice((0, changed // 2, changed)))
+            sets = [np.unique(np.array(s, np.uint64)) for s in (one, other)]
+            both = len(np.intersect1d(*sets))
+            links = 100 * both >= 80 * (len(sets[0]) + len(sets[1]) - both)
+            wides = [jaccard.wide_sketch(s) for s in sets]
+            rows.append((*(x for s, w in zip(sets, wides) for x in (len(s), None if w is None else w.tolist())), links))
+            unlike = [len(w) for w in wides if w is not None]
+            assert len(set(unlike)) < 2 or max(unlike) == 2 * min(unlike)
+    assert any(a and b and len(a) != len(b) for _, a, _, b, _ in rows)
+    pairs = spark.createDataFrame(rows, "a_n_shingles long, a_wide array<long>, b_n_shingles long, b_wide array<long>, links boolean")
+    passed = [(r.links, r.can) for r in pairs.selectExpr("links", f"{jaccard.wide_can_link('a_', 'b_', 80)} AS can").collect()]
+    assert (True, False) not in passed and (True, True) in passed
+    # sets that share nothing are all ruled out, at any size
+    other = [np.unique(np.array(random.sample(range(1 << 40), n), np.uint64)) for n in (520, 520, 1030, 1030, 9000, 9000)]
+    apart = [(*(x for s in pair for x in (len(s), jaccard.wide_sketch(s).tolist())), False) for pair in zip(other[::2], other[1::2])]
+    assert not spark.createDataFrame(apart, pairs.schema).filter(jaccard.wide_can_link("a_", "b_", 80)).count()
+
+
 def test_near_classes_on_odd_tables(odd, empty):
     assert jaccard.near_classes(odd).count() == odd.count()
     kept = jaccard.one_of_each(odd)
