@@ -14,7 +14,7 @@ from epidw.llm.bytehash import SPACE
 from epidw.session import shared_folder
 
 #: rows of one Arrow batch are worked on in slices of about this many bytes, which bounds a task's memory
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: bytes of labelled texts that a classifier is fitted on, at most
 SAMPLE_BYTES = 16 << 20
 
