@@ -10,11 +10,12 @@ the lighter one (containment) or against both together.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from epidw.llm.bytehash import mix
 
@@ -104,26 +105,36 @@ def edit(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
+def range_of(value: Column, bounds: Sequence) -> Column:
+    """How many of the sorted ``bounds`` are below ``value``: blocks of bounds first, then the bounds of one block."""
+    width = math.isqrt(len(bounds)) + 1
+    blocks = [bounds[i : i + width] for i in range(0, len(bounds), width)]
+    if not blocks:
+        return F.lit(0)
+    passed = F.size(F.filter(F.array(*(F.lit(block[-1]) for block in blocks)), lambda last: last < value))
+    block = F.get(F.array(*(F.array(*map(F.lit, block)) for block in blocks)), passed)
+    below = F.coalesce(F.size(F.filter(block, lambda bound: bound < value)), F.lit(0))
+    return F.least(passed * width + below, F.lit(len(bounds)))  # the last block may be shorter
+
+
 def with_predecessors(docs: DataFrame, parts: int) -> DataFrame:
     """Documents dealt out by ranges of ``doc_id``, each range headed by the last document before it (``own`` false).
 
-    The bounds come from quantiles of all ids: one number per range, found without the texts.
+    Spark cuts the ids, without the texts, into at most ``parts`` ranges; the driver gets the last id of each.
     """
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    bounds = sorted(set(keyed.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts))) if parts > 1 else []
-    # bucket i holds the ids above bound i - 1, up to bound i
-    bucket = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: F.col("doc_id") > b)) if bounds else F.lit(0)
-    placed = keyed.withColumn("bucket", F.when(F.col("doc_id").isNull(), -1).otherwise(bucket))
-    ends = placed.filter("bucket >= 0").groupBy("bucket").agg(F.max("doc_id").alias("last")).collect()
-    ends = sorted(ends)  # one row per range
-    if not ends:
-        return placed.withColumn("own", F.lit(True))
-    heads = {a["last"]: b["bucket"] for a, b in zip(ends, ends[1:])}
-    heads[ends[-1]["last"]] = ends[0]["bucket"]  # after the first id comes the last one
-    target = F.create_map(*[F.lit(x) for pair in heads.items() for x in pair])
-    before = placed.filter(F.col("doc_id").isin(*heads)).withColumn("bucket", target[F.col("doc_id")])
-    both = placed.withColumn("own", F.lit(True)).unionByName(before.withColumn("own", F.lit(False)))
-    return both.repartition(max(1, len(ends)), "bucket")
+    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").repartitionByRange(parts, "doc_id")
+    lasts = ids.withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.max("doc_id").alias("last"))
+    ends = sorted(row["last"] for row in lasts.collect())
+    bucket = F.when(F.col("doc_id").isNull(), -1).otherwise(range_of(F.col("doc_id"), ends[:-1]))
+    placed = keyed.withColumn("bucket", bucket).withColumn("own", F.lit(True))
+    if ends:
+        # a range is headed by the last row of the one before it, the first by the very last row
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        heads = docs.sparkSession.createDataFrame([(last, (i + 1) % len(ends)) for i, last in enumerate(ends)], f"last {kind}, bucket int")
+        before = keyed.join(F.broadcast(heads), F.col("doc_id") == F.col("last"))
+        placed = placed.unionByName(before.select("doc_id", "text", "bucket", F.lit(False).alias("own")))
+    return placed.repartitionById(max(1, len(ends)), F.greatest("bucket", F.lit(0)))
 
 
 def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -133,6 +144,7 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     the first. Returns ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited`` and ``near_next`` (containment of the edited text's and of the next
     document's fingerprint).
+    ``doc_id`` may be of any type with an order. A task holds two texts with their fingerprints, however long they are.
     Null texts are empty; rows of one ``doc_id`` follow each other in the order of their texts; a single document
     follows itself. Rows with a null ``doc_id`` form an order of their own. Further columns are ignored.
     """
