@@ -14,8 +14,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from epidw.llm.common import written
 
 SHORTEST, LONGEST = 512, 4096
-#: a chunk ends behind the first of these pairs past SHORTEST characters: about one place in a hundred
-BOUNDARY = "[aeiou][bdgmp]"
+
+
+def _runs(first: int, end: int, step: int, start: int, width: int) -> str:
+    """Of every ``step`` code points the ``width`` from ``start`` on, as part of a character class."""
+    return "".join(f"\\x{{{low:X}}}-\\x{{{low + width - 1:X}}}" for low in range(first + start, end, step))
+
+
+def _beyond_ascii(low: int, high: int) -> str:
+    """About one character in eight of every script beyond ASCII: runs from ``low`` in alphabets, from ``high`` in large ones."""
+    alphabets = _runs(0x80, 0x3400, 32, low, 4) + _runs(0xF900, 0x10000, 32, low, 4)
+    return alphabets + _runs(0x3400, 0xD800, 512, high, 64) + _runs(0x10000, 0x30000, 1024, 2 * high, 128)
+
+
+#: a chunk ends behind the first of these pairs past SHORTEST characters: two letters, two digits, or two such characters
+#: (about one place in sixty); only a text without any of them is cut at LONGEST characters
+BOUNDARY = f"[aeiou][bdgmp]|0[27]|(?![\\x00-\\x7F])[{_beyond_ascii(0x15, 0x40)}][{_beyond_ascii(0x02, 0x100)}]"
 CHUNK = f"(?s).{{{SHORTEST},{LONGEST - 2}}}?(?:{BOUNDARY})|.{{1,{LONGEST}}}"
 #: recipes that repeat are broadcast up to this count, and joined by a shuffle beyond it
 BROADCAST_ROWS = 1_000_000
@@ -47,7 +61,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     """One row per document (columns ``doc_id``, ``text``) with its group of equal texts.
 
     Texts are equal if identical without ``[\\x20\\x09-\\x0D]``; null counts as empty, and all empty texts are
-    one group. Returns ``doc_id``, ``keep_id`` (most characters in the original text, then smallest ``doc_id``),
+    one group. ``doc_id`` may be of any type with an order. Returns ``doc_id``, ``keep_id`` (most characters in the original text, then smallest ``doc_id``),
     ``group_size``, ``kept`` and ``text_sha256``. A null ``doc_id`` stays only if the group has no other; rows that
     repeat a ``doc_id`` in a group are each returned, all with the same ``kept``. Further columns are ignored.
     """
@@ -59,13 +73,13 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     verified = listed.withColumn("apart", F.lit(""))
     if apart is not None:
         verified = listed.join(apart, ["recipe", "text_sha256"], "left").fillna("", ["apart"])
-    rank = F.struct(F.col("chars"), F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("first"))
-    groups = verified.groupBy("recipe", "apart").agg(F.max(rank).alias("best"), F.count("*").alias("group_size"))
+    rank = F.struct((-F.col("chars")).alias("short"), F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("first"))
+    groups = verified.groupBy("recipe", "apart").agg(F.min(rank).alias("best"), F.count("*").alias("group_size"))
     found = verified.join(groups, ["recipe", "apart"])
-    keep_id = -F.col("best.first")
+    keep_id = F.col("best.first")
     return found.select(
         "doc_id", keep_id.alias("keep_id"), "group_size",
-        (F.col("doc_id").eqNullSafe(keep_id) & (F.col("chars") == F.col("best.chars"))).alias("kept"), "text_sha256",
+        (F.col("doc_id").eqNullSafe(keep_id) & (F.col("chars") == -F.col("best.short"))).alias("kept"), "text_sha256",
     )
 
 

@@ -196,6 +196,89 @@ def test_templates_that_rewrite_history_are_found():
         chat.turn_spans([("user", "a"), ("assistant", "b")], counting)
 
 
+def test_assistant_texts_are_found_in_any_template(spark):
+    def tagged(turns):
+        return "".join(f"<{role}>{text}</s>" for role, text in turns)
+
+    def rewriting(turns):
+        return f"{len(turns)}:" + tagged(turns) if turns and turns[0][1] == "rewrite" else tagged(turns)
+
+    def twice(turns):
+        return "".join(text + text for _, text in turns)
+
+    turns = [("user", "s"), ("assistant", "a"), ("assistant", ""), ("assistant", "</s><assistant>")]
+    output, spans = chat.turn_spans(turns, tagged)
+    found = chat.loss_spans(turns, tagged, output, spans)
+    assert [output[a:b] for a, b in found] == ["a", "", "</s><assistant>"] and found[0][0] == len("<user>s</s><assistant>")
+    with pytest.raises(chat.TextNotFound):
+        chat.loss_spans(turns, twice, *chat.turn_spans(turns, twice))
+    rows = [(c, t, *turn) for c in (1, 2) for t, turn in enumerate(turns)]
+    rows[0] = (1, 0, "user", "rewrite")
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    first, second = chat.render_conversations(table, rewriting).orderBy("conv_id").collect()
+    assert (first.problem, first.spans, first.loss) == ("history rewritten", None, None) and first.formatted.startswith("4:")
+    assert (second.problem, len(second.spans), len(second.loss)) == (None, 4, 3)
+    assert chat.render_conversations(table, twice).filter("problem = 'text not found' AND loss IS NULL").count() == 2
+
+
+def test_a_long_conversation(spark):
+    rows = [(1, t, "assistant" if t % 2 else "user", f"turn {t} [" + "x" * t) for t in range(400)]
+    found = chat.render_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).first()
+    assert [chat.unescape(found.formatted[a:b]) for a, b in found.loss] == [text for _, _, role, text in rows if role == "assistant"]
+    assert [t for _, t in chat.read_back(found.formatted)] == [text for *_, text in rows]
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзийклмнопрстуфхцчшщъыьэюя", "אבגדהוזחטיכלמנסעפצקרשת", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "αβγδεζηθικλμνξοπρστυφχψω",
+                                     "".join(map(chr, range(0x4E00, 0x6E00))), "".join(map(chr, range(0x3041, 0x3094))),
+                                     "".join(map(chr, range(0xAC00, 0xC000))), "अआइईउऊएऐओऔकखगघचछजझटठडढतथदधनपफबभमयरलवशषसह", "0123456789"])
+def test_chunks_of_every_script_are_cut_by_content(spark, letters):
+    random.seed(5)
+    text = "".join(random.choices(letters, k=120_000))
+    table = spark.createDataFrame([(text,), (text[:7] + "x" * 100 + text[7:],)], "text string")
+    one, other = (r[0] for r in table.select(exact.chunks(exact.F.col("text"))).collect())
+    assert "".join(one) == text and max(map(len, one)) < exact.LONGEST
+    assert len(set(one) & set(other)) > len(one) / 2
+
+
+def test_ids_of_any_type(spark, docs):
+    texts = docs.select(exact.F.concat(exact.F.lit("é"), exact.F.col("doc_id").cast("string")).alias("doc_id"), "text").limit(300)
+    numbered = docs.select("doc_id", "text").limit(300)
+    found, same = ({r.doc_id: r for r in exact.exact_groups(t).collect()} for t in (texts, numbered))
+    assert {d: (r.group_size, r.text_sha256) for d, r in found.items()} == {f"é{d}": (r.group_size, r.text_sha256) for d, r in same.items()}
+    assert exact.without_copies(texts).count() == exact.without_copies(numbered).count()
+    ids = sorted(texts.collect(), reverse=True)
+    prints = {r.doc_id: r for r in fingerprints.fingerprints(texts, parts=7).collect()}
+    for row, following in zip(ids, ids[1:] + ids[:1]):
+        edited = fingerprints.edit(row.text or "", following.text or "")
+        assert prints[row.doc_id].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_ranges_are_found_by_blocks(spark):
+    bounds = sorted(random.Random(2).sample(range(1000), 57))
+    for some in ([], bounds[:1], bounds[:9], bounds):
+        rows = spark.range(-1, 1001).select("id", fingerprints.range_of(exact.F.col("id"), some).alias("n")).collect()
+        assert all(r.n == sum(b < r.id for b in some) for r in rows)
+
+
+def brute_cuts(text):
+    """Chunk ends by a plain loop over positions, each hash summed anew."""
+    ends, start = [], 0
+    for end in range(1, len(text) + 1):
+        window = text[max(0, end - fingerprints.WINDOW) : end]
+        hashed = sum(int(fingerprints.GEAR[ord(c) & 0xFFFF]) << (4 * back) for back, c in enumerate(reversed(window))) & 0xFFFFFFFF
+        mask = int(fingerprints.EARLY_MASK if end - start < fingerprints.NORMAL else fingerprints.LATE_MASK)
+        if end - start >= fingerprints.SHORTEST and hashed & mask == 0 or end - start == fingerprints.LONGEST or end == len(text):
+            ends.append(end)
+            start = end
+    return ends
+
+
+def test_cuts_equal_a_plain_loop(docs):
+    for text in [r.text or "" for r in docs.limit(60).collect()] + ["a" * 500, "日本" * 200, "", "x"]:
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        assert fingerprints.cuts(points) == brute_cuts(text)
+
+
 def brute_classes(rows, size, percent):
     sets = {}
     for doc_id, text in rows:
