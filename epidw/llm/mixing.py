@@ -3,8 +3,11 @@
 A classifier learned from a table of labelled documents gives each document a posterior over domains. Its expected
 tokens of a domain are its tokens times that posterior. Document rates, none below ``least``, are then fitted so that
 the expected tokens of every domain, summed over rate times tokens, meet the targets: least squares by projected
-gradient. A step needs one sum per domain over all documents, which Spark adds up; a document's rate follows from its
-last written rate and the few gradients since, so the driver holds one number per domain and step.
+gradient. While no rate is at its bound a step changes the sums by what the domains have in common, the sums of tokens
+times products of shares. So the driver adds up gradient steps on those until the targets would be met, and Spark applies
+them to the rates in one pass, projects, and sums again what is reached; that is repeated while bounds keep it from the
+targets. A document's rate follows from its last written rate and the few passes since, so the driver holds one number
+per domain and pass, and one per pair of domains.
 """
 
 from __future__ import annotations
@@ -19,8 +22,8 @@ from epidw.llm.common import bounded_sample, sampled_texts, written
 from epidw.llm.subwords import SAMPLE, SubwordModel
 from epidw.llm.tokens import encoder
 
-STEPS = 200  # the result says whether the fit has converged by then
-REPLAYED = 8  # gradient steps after which the rates are written, so that a step replays fewer than these
+STEPS = 200  # passes over the rates, and gradient steps before each; the result says whether the fit has converged by then
+REPLAYED = 8  # passes after which the rates are written, so that one replays fewer than these
 TOLERANCE = 1e-4  # largest miss of a target, as a share of all tokens
 TEMPERATURE = 0.7  # exponent on a domain's share where no weights are given
 
@@ -58,6 +61,31 @@ def domain_tokens(members: DataFrame, domains: int, rate: Column | None = None)
     return np.array([x or 0.0 for x in sums])
 
 
+def domain_products(members: DataFrame, domains: int) -> np.ndarray:
+    """For each pair of domains the sum over all documents of tokens times both shares."""
+    share = [F.col("posterior")[d] for d in range(domains)]
+    pairs = [(d, e) for d in range(domains) for e in range(d, domains)]
+    sums = members.agg(*(F.sum(F.col("tokens") * share[d] * share[e]).alias(f"d{d}_{e}") for d, e in pairs)).first()
+    found = np.zeros((domains, domains))
+    for (d, e), value in zip(pairs, sums):
+        found[d, e] = found[e, d] = value or 0.0
+    return found
+
+
+def descent(miss: np.ndarray, products: np.ndarray, scale: float) -> np.ndarray:
+    """Sum of the gradient steps after which, with no rate at its bound, the targets are met; :data:`STEPS` at most.
+
+    The curvature of a domain is at most its tokens, the sum of its products with all domains.
+    """
+    slope, step = np.zeros(len(miss)), 1 / np.maximum(products.sum(axis=1), scale * 1e-6)
+    for _ in range(STEPS):
+        if np.abs(miss).max(initial=0) <= TOLERANCE * scale:
+            break
+        slope += miss * step
+        miss = miss - products @ (miss * step)
+    return slope
+
+
 def rate_after(slopes: list[np.ndarray], least: float) -> Column:
     """``rate`` of a document after further gradient steps, kept at ``least`` or more after each."""
     if not slopes:
@@ -88,7 +116,7 @@ def mixing_rates(
     ``doc_id``, ``text_hash``, ``tokens``, ``posterior``, ``domain`` (most likely one), ``rate``, ``copies`` (the rate
     rounded up or down by a hash of ``doc_id``, so that copies add up to rates) and ``target`` and ``reached``, arrays
     over the domains in alphabetical order. ``miss`` is the largest miss of a target as a share of all tokens, and
-    ``converged`` tells whether it is within :data:`TOLERANCE`; after ``steps`` gradient steps the fit ends in any case.
+    ``converged`` tells whether it is within :data:`TOLERANCE`; after ``steps`` passes the fit ends in any case.
     Tokens are ids of ``tokenizer`` and an end id, so a null or empty text has one token. A
     target that no document can serve, or without labelled rows every target, is missed by what is lacking. Repeated
     rows have the same rate; further columns are ignored.
@@ -102,15 +130,14 @@ def mixing_rates(
     else:
         given = np.array([float(weights.get(c, 0.0)) for c in model.classes])
         targets = given / max(given.sum(), 1e-12) * (available.sum() if total is None else total)
-    # work in shares; the curvature of a domain is at most its tokens times its own share of them
     scale = max(available.sum(), 1.0)
     slopes: list[np.ndarray] = []
-    reached, step = available, np.array([1 / max(a, scale * 1e-6) for a in available])
+    products, reached = domain_products(members, count), available
     for _ in range(steps):
         miss = reached - targets
         if np.abs(miss).max(initial=0) <= TOLERANCE * scale:
             break
-        slopes.append(miss * step)
+        slopes.append(descent(miss, products, scale))
         if len(slopes) == REPLAYED:
             members = written(members.withColumn("rate", rate_after(slopes, least)), "members")
             slopes = []
