@@ -2,7 +2,8 @@
 
 The statements are assembled from a chain of common table expressions (raw rows,
 staging, dimensions, facts, mart) and use plain joins and global windows, so they
-share no code path with the Spark operators. Only for tests: on a cluster nothing
+share no operator with the Spark side. They do share its raw rows, labels, regions
+and key lists, which a test pins to literal values. Only for tests: on a cluster nothing
 here runs.
 """
 
@@ -672,6 +673,8 @@ def _profiles() -> dict[str, str]:
     statements = {
         "null_report": report("{c} IS NULL", " WHERE nulos > 0"),
         "null_empty_report": report("{c} IS NULL OR {c} = ''"),
+        "null_report_merged": report("{c} IS NULL", " WHERE nulos > 0"),
+        "null_empty_report_merged": report("{c} IS NULL OR {c} = ''"),
         "table_profile": _per_column(
             d.RAW_COLUMNS,
             "SELECT '{c}' AS coluna, 'string' AS tipo, count(*) AS linhas, count({c}) AS nao_nulos FROM raw",

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epidw import domain as d
 from epidw.functions import dates, measures, text
-from epidw.operators import dimensions, facts, mart, profile, quality, scd2
+from epidw.operators import dimensions, facts, mart, profile, profile_state, quality, scd2
 from epidw.operators.aggregates import Request
 from epidw.operators.lookup import with_salt
 from epidw.operators.staging import build_staging
@@ -235,6 +235,14 @@ def _navigated(load: Load) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _merged_profile(load: Load) -> DataFrame:
+    """The state of the raw files, added up from the stored states of each."""
+    store = profile_state.ProfileStore(load.spark, f"{load.root}/profile")
+    with _loading:
+        store.update(f"{load.root}/raw")
+    return store.state(f"{load.root}/raw")
+
+
 def _refresh_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for suffix, raw_choice, clean_choice in (("", ((), ()), ((), ())), ("_filtered", (RAW_MUNICIPIOS, CLASSES), (WAREHOUSE_MUNICIPIOS, CLASSES))):
@@ -357,6 +365,8 @@ def queries() -> dict[str, Query]:
         # profiling and exploratory analyses
         "null_report": _on_raw(profile.null_report),
         "null_empty_report": _on_raw(profile.null_or_empty_report),
+        "null_report_merged": _on_load(lambda load: profile_state.null_report(_merged_profile(load))),
+        "null_empty_report_merged": _on_load(lambda load: profile_state.null_or_empty_report(_merged_profile(load))),
         "table_profile": _on_raw(profile.table_profile),
         "class_frequency_pct": _on_raw(notebook.class_frequency),
         "sex_distribution": _on_raw(notebook.sex_distribution),

@@ -24,15 +24,18 @@ def read_microdata_csv(
     encoding: str = "ISO-8859-1",
     schema: T.StructType | None = None,
     missing: Sequence[str] = MISSING,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Delimited text with a header line; every column stays text, ``missing`` spellings become NULL.
 
     Without ``schema`` the names come from the header of the file (one line is
     read); types are never inferred, since one column mixes numbers and words.
     Quotes inside quoted fields are doubled. Fields with line breaks need
-    ``multi_line``, which keeps a file from being split.
+    ``multi_line``, which keeps a file from being split; unless it is given, one
+    scan of the lines finds out whether any file has such a field.
     """
+    if multi_line is None:
+        multi_line = has_broken_lines(spark, path)
     reader = spark.read.options(sep=sep, header=True, encoding=encoding, quote='"', escape='"', multiLine=multi_line)
     if schema is not None:
         # columns are matched by position, so a header in another order must not pass silently
@@ -41,6 +44,12 @@ def read_microdata_csv(
     return read.select(*(F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in read.columns))
 
 
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a line opens a quoted field that it does not close: it then has an odd number of quotes."""
+    lines = spark.read.text(path)
+    return not lines.filter((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1).isEmpty()
+
+
 def csv_to_parquet(spark: SparkSession, source: str, target: str, **options) -> None:
     """Convert the delimited file to Parquet, column for column."""
     read_microdata_csv(spark, source, **options).write.mode("overwrite").parquet(target)

@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from epidw import domain as d, schemas
-from epidw.operators import profile
+from epidw.operators import profile, profile_state
 from epidw.plans import notebook
 from epidw.sources import microdata
 
@@ -51,6 +51,46 @@ def test_csv_quoting_and_missing_spellings(spark, folder):
     assert microdata.read_microdata_csv(spark, broken, multi_line=True).first().p == "two\nlines"
 
 
+def test_csv_line_breaks_are_found(spark, folder):
+    path = write_csv(folder, ['1;"two', 'lines ""quoted""";c', '2;"a;b";d'], header="p;q;r")
+    assert microdata.has_broken_lines(spark, path)
+    assert rows(microdata.read_microdata_csv(spark, path)) == [("1", 'two\nlines "quoted"', "c"), ("2", "a;b", "d")]
+    whole = write_csv(folder, ['1;"say ""x""";c', '2;"";d'], header="p;q;r")
+    assert not microdata.has_broken_lines(spark, whole)
+    assert rows(microdata.read_microdata_csv(spark, whole)) == [("1", 'say "x"', "c"), ("2", None, "d")]
+
+
+def test_profile_states_merge_in_any_order(spark, folder):
+    df = spark.createDataFrame([(None, "x", 1), ("", "y", None), ("a", None, 3), ("b", "z", 4), (None, "", 5)], "p string, q string, n int")
+    parts = [profile_state.state_of(df.filter(f"coalesce(n, 2) = {i}")) for i in range(1, 6)]
+    expected = {("n", 5, 1, 0), ("p", 5, 2, 1), ("q", 5, 1, 1)}
+    assert set(rows(profile_state.state_of(df))) == expected
+    for order in (parts, parts[::-1], [profile_state.merge(*parts[:2]), profile_state.merge(*parts[2:])]):
+        assert set(rows(profile_state.merge(*order))) == expected
+    assert rows(profile_state.null_report(profile_state.state_of(df)), "coluna") == rows(profile.null_report(df), "coluna")
+    assert set(rows(profile_state.state_of(df.limit(0)))) == {(c, 0, 0, 0) for c in "npq"}
+
+
+def test_a_new_file_costs_one_file(spark, folder):
+    source, store = f"{folder}/a b+c", profile_state.ProfileStore(spark, f"{folder}/states")
+    df = spark.createDataFrame([(None, "x"), ("", "y"), ("a", None), ("b", "z")], "p string, q string")
+    df.repartition(2).write.parquet(source)
+    assert store.update(source) == 2 and store.update(source) == 0
+    df.coalesce(1).write.mode("append").parquet(source)
+    assert store.update(source) == 1
+    assert set(rows(store.state(source))) == {("p", 8, 2, 2), ("q", 8, 2, 0)}
+    df.limit(1).coalesce(1).write.mode("overwrite").parquet(source)  # files that are gone no longer count
+    assert store.update(source) == 1
+    assert set(rows(store.state(source))) == {("p", 1, 1, 0), ("q", 1, 0, 0)}
+
+
+def test_fixed_values():
+    assert (d.YES, d.CONFIRMED, d.COVID_DEATH, d.UNKNOWN) == ("Sim", "Confirmados", "Óbito pelo COVID-19", "Desconhecido")
+    assert sum(map(len, d.REGIONS.values())) == 77 and d.POPULATIONS["SERRA"] == 520_000 and d.POPULATION_CHANGES == {"VITORIA": 375_000, "SERRA": 540_000}
+    assert {place: region for region, places in d.REGIONS.items() for place in places}["SAO MATEUS"] == ("Norte", "Central Norte")
+    assert [label for _, label in d.COMORBIDITY_LABELS] == ["Cardiopatia", "Diabetes", "Obesidade", "Doença Pulmonar", "Doença Renal"]
+
+
 def test_missing_microdata_is_reported(spark, folder):
     with pytest.raises(FileNotFoundError):
         microdata.read_microdata(spark, f"{folder}/a", f"{folder}/b")
