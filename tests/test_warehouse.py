@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from epidw import domain as d, schemas
 from epidw.operators import facts, lookup, mart, quality
 from epidw.plans import pipeline
-from epidw.sources.warehouse import Warehouse
+from epidw.sources.warehouse import PublicationConflict, Warehouse
 
 STAGING = pipeline.STAGING
 
@@ -139,6 +139,46 @@ def test_publish_only_after_the_gate(spark, small, folder, monkeypatch):
     assert Warehouse.open(spark, folder).version == second.version
 
 
+def _version(spark, root, value):
+    version = Warehouse.new_version(spark, root)
+    version.write("t.x", spark.range(value, value + 1))
+    return version
+
+
+def test_two_loads_from_one_base(spark, folder):
+    first, second = _version(spark, folder, 1), _version(spark, folder, 2)
+    second.publish()
+    with pytest.raises(PublicationConflict):
+        first.publish()
+    assert Warehouse.open(spark, folder).version == second.version
+    third = _version(spark, folder, 3)
+    third.publish()
+    assert rows(Warehouse.open(spark, folder)["t.x"]) == [(3,)]
+    with pytest.raises(PublicationConflict):
+        first.publish()
+
+
+def test_expiry_keeps_what_is_used(spark, folder):
+    made = []
+    for value in range(4):
+        made.append(_version(spark, folder, value))
+        if value != 1:  # a load that was given up
+            made[-1].publish()
+    names = [v.version for v in made]
+    assert Warehouse.expire(spark, folder, keep=1) == []  # all begun within the grace
+    none = dt.timedelta(0)
+    with made[0].lease():
+        assert Warehouse.expire(spark, folder, keep=2, grace=none) == [names[1]]
+        assert rows(made[0]["t.x"]) == [(0,)]
+    assert Warehouse.expire(spark, folder, keep=2, grace=none) == [names[0]]
+    with pytest.raises(FileNotFoundError, match="expired"), made[0].lease():
+        pass
+    assert Warehouse.expire(spark, folder, keep=0, grace=none) == [names[2]]
+    assert rows(Warehouse.open(spark, folder)["t.x"]) == [(3,)]
+    _version(spark, folder, 4).publish()
+    assert rows(Warehouse.open(spark, folder)["t.x"]) == [(4,)]
+
+
 def test_missing_warehouse_is_reported(spark, folder):
     with pytest.raises(FileNotFoundError, match="run the load first"):
         Warehouse.open(spark, f"{folder}/a", f"{folder}/b")
