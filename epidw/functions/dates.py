@@ -23,7 +23,8 @@ def try_date(text: Column) -> Column:
     ISO dates take the plain cast. Other separators, short parts and a trailing
     time go through one regular expression that normalizes them first.
     """
-    iso = F.when(text.like("____-__-__"), text.try_cast("date"))
+    dashes = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    iso = F.when((F.octet_length(text) == 10) & dashes, text.try_cast("date"))
     found = F.translate(F.regexp_extract(text, _DATE, 1), "/\\ ", "---")
     missing_year_digits = F.greatest(F.lit(0), 5 - F.instr(found, "-"))
     padded = F.concat(F.substring(F.lit("000"), F.lit(1), missing_year_digits), found)

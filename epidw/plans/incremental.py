@@ -35,7 +35,7 @@ class IncrementalLoad:
     @property
     def delta(self) -> DataFrame:
         """Changed raw rows with their signed multiplicity."""
-        return self._once("delta", lambda: increments.snapshot_delta(self.before.raw, self.raw))
+        return self._once("delta", lambda: increments.snapshot_delta(self.before.rows, self.raw))
 
     @property
     def staged(self) -> DataFrame:

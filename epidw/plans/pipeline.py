@@ -35,6 +35,11 @@ class Load(Warehouse):
         load.locks = {table: Lock() for table in BUILDERS}
         return load
 
+    @property
+    def rows(self) -> DataFrame:
+        """The raw rows for passes over them; a load may have them in a form that is cheaper to come by than ``raw``."""
+        return self.raw
+
     def __getitem__(self, table: str) -> DataFrame:
         with self.locks[table]:
             if table not in self._frames:
@@ -80,7 +85,7 @@ def _notification_fact(load: Load) -> DataFrame:
 
 
 BUILDERS: dict[str, Callable[[Load], DataFrame]] = {
-    STAGING: lambda load: build_staging(load.raw),
+    STAGING: lambda load: build_staging(load.rows),
     "dw.dim_tempo": lambda load: dimensions.build_date_dimension(load.spark),
     "dw.dim_localidade": lambda load: dimensions.build_locality_dimension(
         cut_lineage(dimensions.build_locality_base(load[STAGING]))

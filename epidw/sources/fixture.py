@@ -98,8 +98,8 @@ EXPRESSIONS: dict[str, str] = {
 }
 
 
-def raw_from_test_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw microdata shape, projected from the test tables.
+def notified_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test tables joined: a row per notification, with the few columns that the raw ones are worked out from.
 
     The small tables meet first, so ``lineitem`` takes part in a single join. For
     the small ones Catalyst chooses the strategy, by their measured size.
@@ -118,4 +118,14 @@ def raw_from_test_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = orders.join(located, F.col("o_custkey") == F.col("c_custkey"))
     # the two large sides are sort-merged, in parallel at any size; skewed partitions are split at run time
     notified = lines.hint("merge").join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
-    return notified.select(*(F.expr(EXPRESSIONS[name]).alias(name) for name in d.RAW_COLUMNS))
+    return notified.drop("l_orderkey", "o_custkey", "c_custkey", "c_nationkey").withColumnRenamed("o_orderkey", "l_orderkey")
+
+
+def raw_columns(lines: DataFrame) -> DataFrame:
+    """The raw microdata shape of notified lines; only the columns that a query reads are worked out."""
+    return lines.select(*(F.expr(EXPRESSIONS[name]).alias(name) for name in d.RAW_COLUMNS))
+
+
+def raw_from_test_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw microdata shape, projected from the test tables."""
+    return raw_columns(notified_lines(spark, sf_dir))
