@@ -5,6 +5,7 @@ the application's shared folder the first time a query needs them, as they would
 in a warehouse; the query named after a table runs the operator that builds it. The
 raw microdata, 45 columns of text, are written only for what reads their files; other
 queries work out the raw columns they use from the joined tables, which are written once.
+A query that reads staging in one pass does not write it for that either.
 """
 
 from __future__ import annotations
@@ -115,8 +116,13 @@ def _on_raw(query: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: query(load_for(spark, sf_dir).rows)
 
 
+def staged_rows(load: Load) -> DataFrame:
+    """The stored staging table; before there is one, the same rows for a single pass, which cleans the columns it reads."""
+    return load[STAGING] if STAGING in load else build_staging(load.rows)
+
+
 def _on_staging(query: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: query(load_for(spark, sf_dir)[STAGING])
+    return lambda spark, sf_dir: query(staged_rows(load_for(spark, sf_dir)))
 
 
 def _on_load(query: Callable[[Load], DataFrame]) -> Query:

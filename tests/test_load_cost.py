@@ -43,6 +43,16 @@ def test_a_load_does_not_write_the_raw_text_that_nothing_reads_as_files(spark, f
     assert os.path.exists(f"{local}/raw") and load.rows.columns == load.raw.columns == list(d.RAW_COLUMNS)
 
 
+def test_a_single_pass_over_staging_does_not_write_it_and_gives_its_rows(spark, folder):
+    sf_dir = tables(spark, folder)
+    load = registry.load_for(spark, sf_dir)
+    names = ("dim_comorbidade", "role_playing_dates", "fact_flags", "dim_localidade_base")
+    alone = {name: sorted(map(str, registry.queries()[name](spark, sf_dir).collect())) for name in names}
+    assert "stg.notificacao_raw" not in load
+    load.build("stg.notificacao_raw")
+    assert alone == {name: sorted(map(str, registry.queries()[name](spark, sf_dir).collect())) for name in names}
+
+
 def test_cleaning_is_one_projection_and_as_before_on_odd_text(spark):
     spaces = [" ", " ", " ", "　", "\t"]
     odd = [None, "", "x", "é", "Não", " é", "é ", "a b", "!", "\x1f", "\x7f", "日本", " 日　"]
