@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from epidw.llm import exact, jaccard, mixing, packing, quality  # noqa: E402
-from epidw.llm.common import table, written  # noqa: E402
+from epidw.llm.common import small_batches, table, written  # noqa: E402
 from epidw.llm.queries import labelled_domains  # noqa: E402
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,6 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each stage returns is written and read again by the next one."""
+    small_batches(spark)
     *middle, (_, last) = STAGES
     docs = reduce(lambda d, stage: written(stage[1](spark, d, sf_dir), "stage"), middle, table(spark, sf_dir, "documents"))
     return last(spark, docs, sf_dir)

@@ -14,11 +14,21 @@ from epidw.llm.bytehash import SPACE
 from epidw.session import shared_folder
 
 #: rows of one Arrow batch are worked on in slices of about this many bytes, which bounds a task's memory
-SLICE_BYTES = 1 << 18
+WORKED_BYTES = 1 << 18
+#: the same where texts are measured, as each byte takes some hundred bytes of features
+SLICE_BYTES = 1 << 16
+#: bytes of one Arrow batch, of which a task holds several copies, in the JVM and in Python
+BATCH_BYTES = 1 << 21
 #: bytes of labelled texts that a classifier is fitted on, at most
 SAMPLE_BYTES = 16 << 20
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the Arrow batches of the session in bytes; by default they hold 10,000 texts or 64 MB."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -83,7 +93,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)), starts
 
 
-def slices(starts: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+def slices(starts: np.ndarray, most: int = WORKED_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most ``most`` bytes together, or of one longer row."""
     row, rows = 0, len(starts) - 1
     while row < rows:

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -415,6 +416,31 @@ def test_scores_do_not_depend_on_slices(docs, labels, monkeypatch):
         assert (model.probabilities(texts) == whole).all() and (trees.features(texts) == features).all()
 
 
+def test_pipeline_batches_and_features_take_bounded_memory(spark):
+    """Batches of 10,000 texts and slices of 256 KB took an executor of the pipeline over its 3000 MB in mixing."""
+    default = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    texts = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("word "), 400).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "rows"])
+
+    try:
+        assert common.small_batches(spark) is spark
+        found = texts.mapInArrow(sizes, "bytes long, rows long").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", default)
+    assert max(r["bytes"] for r in found) <= 1.5 * common.BATCH_BYTES and sum(r["rows"] for r in found) == 4000
+    model = subwords.SubwordModel.fit([("good words", 1), ("bad ones", 0)])
+    column = pa.array(["some longer text of words, " * 70] * 1000)
+    model.probabilities(column)  # what is kept from slice to slice is there before
+    tracemalloc.start()
+    model.probabilities(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20
+
+
 def test_words_of_a_long_text_are_counted_once(monkeypatch):
     monkeypatch.setattr("epidw.llm.common.SLICE_BYTES", 4096)
     count = lambda data, starts, ends, bounds: np.array([[len(subwords.feature_buckets(data, bounds)[0])]])
