@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from epidw.llm.common import bounded_sample, sampled_texts, written
+from epidw.llm.common import bounded_sample, sampled_texts, small_batches, written
 from epidw.llm.subwords import SAMPLE, SubwordModel
 from epidw.llm.tokens import encoder
 
@@ -39,6 +39,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, rows: int = SAMPLE) -> Sub
 
 def with_membership(docs: DataFrame, model: SubwordModel, tokenizer: str) -> DataFrame:
     """``doc_id``, ``text_hash``, ``tokens`` (ids and an end id) and ``posterior`` (a share for each domain of the model)."""
+    small_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "text_hash", "tokens", "posterior"]
 

@@ -428,6 +428,9 @@ def test_pipeline_batches_and_features_take_bounded_memory(spark):
     try:
         assert common.small_batches(spark) is spark
         found = texts.mapInArrow(sizes, "bytes long, rows long").collect()
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", default)
+        mixing.with_membership(texts.withColumn("doc_id", F.lit(1)), subwords.SubwordModel.fit([]), BYTES)
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(common.BATCH_BYTES)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", default)
     assert max(r["bytes"] for r in found) <= 1.5 * common.BATCH_BYTES and sum(r["rows"] for r in found) == 4000
