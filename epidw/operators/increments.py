@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from epidw import domain as d, schemas
+from epidw.functions.dates import all_of
 from epidw.operators import scd2
 from epidw.operators.dimensions import with_region
 from epidw.operators.facts import build_notification_fact
@@ -22,6 +23,10 @@ from epidw.session import cut_lineage
 
 CHANGE = "variacao"  # signed multiplicity of a row
 
+#: the filter of changed digests: bits for each, marks of each, words of 64 bits in a block, blocks at most
+BITS_PER_DIGEST, PROBES, BLOCK_WORDS, FILTER_BLOCKS = 16, 4, 64, 1 << 17
+_MARKS = [f"cast(shiftrightunsigned(_digest2, {12 * i}) & 4095 as int)" for i in range(PROBES)]
+
 
 def row_digest(columns: Sequence[str]) -> list[Column]:
     """128 bits that tell rows apart by all their values, missing ones included."""
@@ -30,24 +35,56 @@ def row_digest(columns: Sequence[str]) -> list[Column]:
     return [F.xxhash64(missing, *values).alias("_digest"), F.xxhash64(F.lit("2"), *reversed(values), missing).alias("_digest2")]
 
 
+def digest_filter(digests: DataFrame, largest: int = FILTER_BLOCKS) -> DataFrame:
+    """Blocks of bits that stand for a set of row digests, for :func:`may_hold`.
+
+    A digest belongs to one block and marks :data:`PROBES` of its bits. The blocks grow with the digests to ``largest`` of
+    them, 64 MB in all; beyond that more other digests pass as well, and none of the set is ever missed.
+    """
+    blocks = 1
+    wanted = digests.count() * BITS_PER_DIGEST / (64 * BLOCK_WORDS)
+    while blocks < min(wanted, largest):
+        blocks *= 2
+    block = F.pmod("_digest", F.lit(blocks)).alias("_block")
+    marks = digests.select(block, "_digest2").repartition("_block").select("_block", F.explode(F.array(*map(F.expr, _MARKS))).alias("_mark"))
+    words = marks.groupBy("_block", F.expr("_mark div 64").cast("int").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, _mark % 64)")).alias("_bits"))
+    held = words.groupBy("_block").agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_held"))
+    none = F.lit(0).cast("long")
+    every = F.transform(F.sequence(F.lit(0), F.lit(BLOCK_WORDS - 1)), lambda word: F.coalesce(F.try_element_at("_held", word), none))
+    return cut_lineage(held.select("_block", F.lit(blocks).alias("_blocks"), every.alias("_words")))
+
+
+def may_hold(rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """The ``rows``, with their digests, whose digest is in the set of a :func:`digest_filter`, and a few others; they do not move."""
+    blocks = marked.agg(F.coalesce(F.max("_blocks"), F.lit(1))).first()[0]
+    bits = [F.expr(f"bit_get(get(_words, cast({mark} div 64 as int)), {mark} % 64) = 1") for mark in _MARKS]
+    side = F.broadcast(marked.select("_block", "_words"))  # bounded by the filter
+    return rows.join(side, all_of([F.pmod("_digest", F.lit(blocks)) == F.col("_block"), *bits]), "left_semi")
+
+
 def snapshot_delta(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows that ``new`` has more or less often than ``old``, with :data:`CHANGE`; each such row once.
 
     Only digests are shuffled for all rows, counted before the shuffle, so copies cost one row a task. Whole rows are
-    read again for the digests that changed, from the side that has more of them. Missing values equal each other.
+    read again and, where their digest changed, counted by their values. Digests too many for a broadcast are told by a
+    filter of bounded size, so a whole row moves only if it changed or is one of the few that pass with them; these count
+    to nothing. Missing values equal each other.
     """
     columns = old.columns
     keys = ["_digest", "_digest2"]
     signed = old.select(*row_digest(columns), F.lit(-1).alias("_sign")).unionByName(
         new.select(*row_digest(columns), F.lit(1).alias("_sign")))
     changed = cut_lineage(signed.groupBy(*keys).agg(F.sum("_sign").alias(CHANGE)).filter(F.col(CHANGE) != 0))
-    side = F.broadcast if fits_broadcast(changed) else lambda x: x  # a larger join is split by adaptive execution where it is skewed
+    small = fits_broadcast(changed)
+    marked = None if small else digest_filter(changed)
 
-    def rows(table: DataFrame, which: str) -> DataFrame:
-        met = table.select("*", *row_digest(columns)).join(side(changed.filter(which)), keys)
-        return met.groupBy(*(f"`{c}`" for c in columns)).agg(F.first(CHANGE).alias(CHANGE))
+    def rows(table: DataFrame, sign: int) -> DataFrame:
+        told = table.select(*(f"`{c}`" for c in columns), *row_digest(columns))
+        met = told.join(F.broadcast(changed.select(*keys)), keys, "left_semi") if small else may_hold(told, marked)
+        return met.select(*(f"`{c}`" for c in columns), F.lit(sign).alias("_sign"))
 
-    return rows(old, f"{CHANGE} < 0").unionByName(rows(new.select(*columns), f"{CHANGE} > 0"))
+    counted = rows(old, -1).unionByName(rows(new, 1)).groupBy(*(f"`{c}`" for c in columns)).agg(F.sum("_sign").alias(CHANGE))
+    return counted.filter(F.col(CHANGE) != 0)
 
 
 def staged_delta(delta: DataFrame) -> DataFrame:
