@@ -28,7 +28,7 @@ from epidw.plans import direct, notebook, shared_refresh, star
 from epidw.plans.incremental import IncrementalLoad
 from epidw.plans.navigate import Navigator
 from epidw.plans.pipeline import DIMENSIONS, STAGING, Load
-from epidw.session import shared_folder, tune
+from epidw.session import shared_folder, shuffles_dropped, tune
 from epidw.sources.fixture import notified_lines, raw_columns
 from epidw.sources.microdata import read_microdata
 
@@ -107,7 +107,8 @@ def load_for(spark: SparkSession, sf_dir: str) -> Load:
         if identity not in _loads:
             tune(spark)
             root = f"{shared_folder(spark)}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
-            notified_lines(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/lines")
+            with shuffles_dropped(spark):
+                notified_lines(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/lines")
             _loads[identity] = TestTableLoad.start(spark, read_microdata(spark, f"{root}/lines"), root)
         return _loads[identity]
 

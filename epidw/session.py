@@ -5,12 +5,19 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from threading import Lock
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 _local_scratch: dict[str, str] = {}
 
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_writing: WeakKeyDictionary[SparkSession, tuple[int, str]] = WeakKeyDictionary()  # writes under way, and the setting before them
+_lock = Lock()
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -65,6 +72,28 @@ def literal_rows(spark: SparkSession, schema: T.StructType, rows: Sequence[tuple
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes issued within give their shuffle files back when they end, not when the driver happens to collect its garbage.
+
+    Only for writes, whose plan runs once. Blocks of several threads may overlap; the last to end restores the setting.
+    """
+    with _lock:
+        writes, before = _writing.get(spark, (0, None))
+        if not writes:
+            before = spark.conf.get(_FILE_CLEANUP, "false")
+            spark.conf.set(_FILE_CLEANUP, "true")
+        _writing[spark] = writes + 1, before
+    try:
+        yield
+    finally:
+        with _lock:
+            writes, before = _writing[spark]
+            _writing[spark] = writes - 1, before
+            if writes == 1:
+                spark.conf.set(_FILE_CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and carry on from the written files.
 
@@ -72,5 +101,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     over the result are guaranteed to see the same rows in the same partitions.
     """
     path = f"{shared_folder(df.sparkSession)}/scratch/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from epidw import schemas
+from epidw.session import shuffles_dropped
 from epidw.sources import files
 
 _PUBLISHED = "published"
@@ -74,7 +75,8 @@ class Warehouse(Mapping[str, DataFrame]):
         declared = schemas.TABLES.get(table)
         if declared is not None:
             df = df.select(*(F.col(f.name).cast(f.dataType) for f in declared))
-        df.write.mode("overwrite").parquet(self.path(table))
+        with shuffles_dropped(self.spark):
+            df.write.mode("overwrite").parquet(self.path(table))
         self._frames[table] = self.spark.read.schema(declared or df.schema).parquet(self.path(table))
         return self._frames[table]
 

@@ -1,11 +1,17 @@
 """What the loads shuffle and leave on disk; rows are built here."""
 
+import os
+import time
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
+from epidw import session
 from epidw.operators import increments
+from epidw.sources.warehouse import Warehouse
 
 
 def bag(df):
@@ -60,3 +66,38 @@ def test_a_filter_misses_no_digest_and_lets_few_others_pass(spark):
     passed = {r.id for r in increments.may_hold(rows, marked).collect()}
     assert passed >= set(range(0, 60_000, 10)) and len(passed) < 6_000 + 54_000 // 50
     assert marked.count() <= 6_000 * increments.BITS_PER_DIGEST / (64 * increments.BLOCK_WORDS) * 2
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for folder in folders for _, _, names in os.walk(folder) for f in names if f.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark, folder):
+    counted = spark.range(50_000).groupBy((F.col("id") % 20_011).alias("k")).agg(F.count("*").alias("n"))
+    before = shuffle_files(spark)
+    tables = [session.cut_lineage(counted), Warehouse.new_version(spark, folder).write("x.counted", counted)]
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:  # they go soon after a write ends
+        time.sleep(0.2)
+    assert not left and [t.count() for t in tables] == [20_011, 20_011]
+    assert [len(counted.collect()), len(counted.collect()), counted.count()] == [20_011] * 3
+
+
+def test_the_setting_of_the_session_is_as_before_after_writes_that_overlap(spark):
+    both, key = Barrier(2, timeout=60), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+
+    def inside(fail):
+        with session.shuffles_dropped(spark):
+            both.wait()
+            held = spark.conf.get(key)
+            both.wait()
+            if fail:
+                raise ValueError
+            return held
+
+    with ThreadPoolExecutor(2) as pool:
+        one, other = pool.submit(inside, True), pool.submit(inside, False)
+        assert isinstance(one.exception(), ValueError) and other.result() == "true"
+    assert spark.conf.get(key, None) == before
