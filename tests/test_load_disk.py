@@ -9,8 +9,10 @@ from threading import Barrier
 import pytest
 from pyspark.sql import functions as F
 
-from epidw import session
-from epidw.operators import increments
+from epidw import domain as d, session
+from epidw.operators import facts, increments, mart
+from epidw.plans.incremental import IncrementalLoad
+from epidw.plans.pipeline import Load
 from epidw.sources.warehouse import Warehouse
 
 
@@ -101,3 +103,20 @@ def test_the_setting_of_the_session_is_as_before_after_writes_that_overlap(spark
         one, other = pool.submit(inside, True), pool.submit(inside, False)
         assert isinstance(one.exception(), ValueError) and other.result() == "true"
     assert spark.conf.get(key, None) == before
+
+
+def test_facts_and_mart_of_a_second_load_are_right_with_many_changes(spark, shuffled, folder):
+    n = F.col("id")
+    values = {
+        "DataNotificacao": F.concat(F.lit("2021-"), F.lpad((n % 12 + 1).cast("string"), 2, "0"), F.lit("-05")),
+        "Municipio": F.when(n % 9 > 0, F.concat(F.lit("Lugar "), n % 9)), "Bairro": F.concat(F.lit("B"), n % 4), "Sexo": F.when(n % 3 == 0, "F"),
+        "Classificacao": F.when(n % 2 == 0, d.CONFIRMED), "Evolucao": F.when(n % 10 == 0, d.COVID_DEATH).otherwise(d.CURED), d.HOSPITALISED: F.when(n % 8 == 0, d.YES),
+    }
+    raw = spark.range(600).select(*(values.get(c, F.lit(None).cast("string")).alias(c) for c in d.RAW_COLUMNS))
+    changed = raw.filter("Bairro <> 'B3' OR Municipio = 'Lugar 1'").withColumn("Municipio", F.when(F.col("Municipio") == "Lugar 2", "vitoria").otherwise(F.col("Municipio")))
+    second = IncrementalLoad(Load.start(spark, session.cut_lineage(raw), folder), session.cut_lineage(changed.unionByName(raw.filter("Sexo = 'F'"))))
+    staged = increments.staged_delta(second.raw.withColumn(increments.CHANGE, F.lit(1))).drop(increments.CHANGE)
+    full = facts.build_notification_fact(staged, second.dimensions)
+    assert bag(second.fact) == bag(full) and sum(bag(full).values()) == second.raw.count()
+    assert bag(second.mart) == bag(mart.refresh_mart(full, second.dimension("dw.dim_localidade")))
+    assert "VITORIA" in {r.municipio for r in second.mart.collect()}
